@@ -1,4 +1,4 @@
 """Registered queries over the test tables, each with its SQL counterpart."""
 
-from querybook import gold, silver  # noqa: F401
+from querybook import allocation, consolidated, gold, silver  # noqa: F401
 from querybook.registry import ORACLES, QUERIES  # noqa: F401

@@ -134,7 +134,7 @@ def carve_out(i: Inputs) -> DataFrame:
 @query(
     "gld_fx_divide",
     """SELECT m.accounting_date, m.department_code, m.expense_code,
-              CAST(CAST(m.financial_report_value AS DOUBLE) / CAST(coalesce(r.rate_value, 1) AS DOUBLE) AS DECIMAL(24,10)) AS value
+              CAST(CAST(m.financial_report_value AS DOUBLE) / CAST(coalesce(r.rate_value, 1) AS DOUBLE) AS DECIMAL(24,6)) AS value
        FROM {s_main_ledger} m LEFT JOIN (SELECT * FROM {s_exchange_rate} WHERE department_code = 'DEP-2') r
          ON year(r.accounting_date) = year(m.accounting_date) AND month(r.accounting_date) = month(m.accounting_date)""",
 )
@@ -142,12 +142,13 @@ def fx_division(i: Inputs) -> DataFrame:
     rows = i.tables["main_ledger"].select(
         "accounting_date", "department_code", "expense_code", F.col("financial_report_value").alias("value")
     )
-    return fx_divide(rows, rate_lookup(i.tables["exchange_rate"], CODES.japan_department), "accounting_date", "value")
+    rates = rate_lookup(i.tables["exchange_rate"], CODES.japan_department)
+    return fx_divide(rows, rates, "accounting_date", "value").withColumn("value", F.col("value").cast("decimal(24,6)"))
 
 
 @query(
     "gld_branch_filter",
-    """SELECT 'takeover' AS branch, date, CAST(value AS DECIMAL(24,10)) AS value, department_code, expense_code FROM {f_takeover}
+    """SELECT 'takeover' AS branch, date, CAST(value AS DECIMAL(24,6)) AS value, department_code, expense_code FROM {f_takeover}
        UNION ALL SELECT 'allocation', accounting_date, financial_report_value, department_code, expense_code
        FROM {s_japan_allocation} WHERE department_code = 'DEP-5'""",
 )
@@ -155,7 +156,7 @@ def branch_filter(i: Inputs) -> DataFrame:
     spec = SPECS["japan"]
     takeover, allocation = (
         e.branch_rows(spec.actual[n], spec.measure, i.tables)
-        .withColumn("value", F.col("value").cast("decimal(24,10)"))
+        .withColumn("value", F.col("value").cast("decimal(24,6)"))
         .withColumn("branch", F.lit(name))
         for n, name in ((1, "takeover"), (2, "allocation"))
     )
