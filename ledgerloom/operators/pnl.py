@@ -190,15 +190,24 @@ def attach_revenue(
     broadcast as it is. Finer revenue comes as a ``Lookup`` and is counted first.
     """
     start = month_start if period == "month" else year_start
-    lookup = Lookup.bounded(revenue) if isinstance(revenue, DataFrame) else revenue
     names = {k: f"revenue_{k}" for k in keys}
-    side = lookup.df.select(
-        F.col("date").alias("revenue_date"),
-        *[F.col(k).alias(n) for k, n in names.items()],
-        F.col("value").alias("str_value"),
-    )
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(
+            F.col("date").alias("revenue_date"),
+            *[F.col(k).alias(n) for k, n in names.items()],
+            F.col("value").alias("str_value"),
+        )
+
     on = [(start(F.col("date")), F.col("revenue_date")), *[(F.col(k), F.col(n)) for k, n in names.items()]]
-    joined = lookup_join(stacked, replace(lookup, df=side), on)
+    if isinstance(revenue, Lookup):
+        joined = lookup_join(stacked, replace(revenue, df=side(revenue.df)), on)
+    else:
+        # Null-safe, so that the planner derives no extra filter for this side: its
+        # aggregation stays the one under the subtotal rows and runs once for both.
+        same = reduce(lambda a, b: a & b, [left.eqNullSafe(right) for left, right in on])
+        joined = stacked.join(F.broadcast(side(revenue)), same, "left")
+        joined = joined.withColumn("str_value", F.when(F.col("date").isNotNull(), F.col("str_value")))
     if default is not None:
         joined = joined.withColumn("str_value", F.coalesce(F.col("str_value"), F.lit(default)))
     return joined.drop("revenue_date", *names.values())

@@ -14,6 +14,7 @@ from ledgerloom.operators import pnl
 from ledgerloom.operators.currency import fx_multiply, rate_lookup
 from ledgerloom.plans.entities import EMPTY_TEXT, OUTPUT, Codes
 from ledgerloom.plans.star import Star, Tables
+from ledgerloom.sources.workspace import materialised
 
 COLUMNS = ("date", "value", "expense_code", "department_code", "source")
 
@@ -143,8 +144,12 @@ def stacked(rows: DataFrame, sums: DataFrame) -> DataFrame:
 
 
 def consolidate(codes: Codes, details: Callable[[str], DataFrame], tables: Tables, star: Star) -> DataFrame:
-    """The dataset: detail rows, month subtotals, and on every row the revenue of its year."""
-    rows = consolidated_rows(codes, details, tables, star)
+    """The dataset: detail rows, month subtotals, and on every row the revenue of its year.
+
+    The detail rows gather some fifty ledgers and are used three times, so they are
+    written once.
+    """
+    rows = materialised(consolidated_rows(codes, details, tables, star))
     sums = month_sums(rows)
     out = stacked(rows, pnl.with_previous(sums, KEYS, 1))
     return pnl.attach_revenue(out, year_revenue(sums), KEYS, "year").select(*CONSOLIDATED_OUTPUT)

@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession) -> str:
@@ -30,8 +30,12 @@ def fresh_folder(spark: SparkSession) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """Computed once and kept in the shared folder, so that losing an executor costs no rerun."""
+    """Computed once, written to the shared folder and read back.
+
+    Losing an executor then costs no rerun, later steps read only the columns they
+    need, and the planner knows the table's size.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    folder = fresh_folder(spark)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

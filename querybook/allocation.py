@@ -130,9 +130,13 @@ _SUPPORT = f"SELECT date, unit_id, department_distribute_code, department_code,
 _SERVICE = "SELECT date, department_code, {v} FROM {{a_{n}}}"
 
 
-@query("alc_ledger", f"SELECT * EXCLUDE ({_VALUES}), {r4(_VALUES)} FROM {{a_ledger}}")
+@query(
+    "alc_ledger",
+    f"""SELECT * EXCLUDE ({_VALUES}), CAST(financial_report_value AS DECIMAL(28,8)) AS financial_report_value,
+               CAST(management_report_value AS DECIMAL(28,8)) AS management_report_value FROM {{a_ledger}}""",
+)
 def ledger(i: Inputs) -> DataFrame:
-    return rounded(i.step_down.ledger())
+    return i.step_down.ledger().withColumns({c: F.col(c).cast("decimal(28,8)") for c in _VALUES.split(", ")})
 
 
 @query("alc_man_month", f"SELECT date, type_id, ob_code, unit_id, department_code, {r4('value')} FROM {{a_mm}}")

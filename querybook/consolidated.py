@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import pnl
 from ledgerloom.operators.currency import fx_multiply, rate_lookup
 from ledgerloom.plans import consolidated as c
+from ledgerloom.plans.entities import plan_actual
+from ledgerloom.sources.workspace import materialised
 from querybook import sqlsteps as s
 from querybook.fixtures import CODES, Inputs
 from querybook.gold import SPECS, rows_of
@@ -123,8 +125,6 @@ def detail_rows(i: Inputs) -> DataFrame:
     f"SELECT {_KEPT}, {_SIX} FROM {{erc_apac}} WHERE value_type IN ('e', 'r')",
 )
 def report_details(i: Inputs) -> DataFrame:
-    from ledgerloom.plans.entities import plan_actual
-
     return millions(c.report_details(plan_actual(SPECS["apac"], i.tables, i.star)))
 
 
@@ -221,7 +221,7 @@ def revenue_year(i: Inputs) -> DataFrame:
 
 @query("con_stacked", f"SELECT * EXCLUDE (value, previous_value), {s.money('value, previous_value', 6)} FROM {{erc_all}}")
 def stacked(i: Inputs) -> DataFrame:
-    rows = rows_all(i)
+    rows = materialised(rows_all(i))
     out = c.stacked(rows, pnl.with_previous(c.month_sums(rows), c.KEYS, 1))
     return millions(out.select(*c.CONSOLIDATED_OUTPUT[:-1]))
 

@@ -254,7 +254,7 @@ for _name in ("apac", "it_services", "solutions", "japan", "korea", "regional"):
     _report(f"gld_dataset_{_name}", _name)
 
 
-def _workspace(i: Inputs) -> str:
+def workspace(i: Inputs) -> str:
     """A catalog schema of its own for one run, in the shared folder."""
     folder = fresh_folder(i.spark)
     schema = folder.rsplit("/", 1)[1].replace("-", "_")
@@ -265,7 +265,7 @@ def _workspace(i: Inputs) -> str:
 @query("gld_materialise", s.attached("apac"))
 def materialised_report(i: Inputs) -> DataFrame:
     report = e.plan_actual(SPECS["apac"], i.tables, i.star)
-    return money(materialise(report, f"{_workspace(i)}.apac"))
+    return money(materialise(report, f"{workspace(i)}.apac"))
 
 
 @query(
@@ -275,7 +275,7 @@ def materialised_report(i: Inputs) -> DataFrame:
 def layout_scan(i: Inputs) -> DataFrame:
     report = e.plan_actual(SPECS["apac"], i.tables, i.star)
     table = materialise(
-        report, f"{_workspace(i)}.apac", partition_by=("source", "value_type"), sort_by=("expense_type_5_id",)
+        report, f"{workspace(i)}.apac", partition_by=("source", "value_type"), sort_by=("expense_type_5_id",)
     )
     wanted = (F.col("source") == "actual") & (F.col("value_type") == "r") & (F.col("expense_type_5_id") == 18)
     return money(table.filter(wanted).select(*e.OUTPUT))
