@@ -14,19 +14,22 @@ from ledgerloom.functions.numbers import AMOUNT, RATE, is_decimal, safe_divide
 from ledgerloom.operators.lookup import Lookup, lookup_join
 
 
-def rate_lookup(rates: DataFrame, department: str) -> Lookup:
-    """One department's rates: ``rate_month``, ``rate_source`` (if tagged), ``rate``."""
+def rate_lookup(rates: DataFrame, *departments: str) -> Lookup:
+    """The departments' rates: ``rate_of``, ``rate_month``, ``rate_source`` (if tagged), ``rate``."""
     source = [F.col("source").alias("rate_source")] if "source" in rates.columns else []
     rate = F.col("rate_value").cast(RATE) if is_decimal(rates, "rate_value") else F.col("rate_value")
     return Lookup(
-        rates.filter(F.col("department_code") == department).select(
-            month_start(F.col("accounting_date")).alias("rate_month"), *source, rate.alias("rate")
+        rates.filter(F.col("department_code").isin(*departments)).select(
+            F.col("department_code").alias("rate_of"),
+            month_start(F.col("accounting_date")).alias("rate_month"),
+            *source,
+            rate.alias("rate"),
         )
     )
 
 
 def fx_divide(df: DataFrame, rates: Lookup, date: str, value: str) -> DataFrame:
-    """Value over the month's rate; unchanged where the month has none."""
+    """Value over the month's rate (of one department); unchanged where the month has none."""
     joined = lookup_join(df, rates, [(month_start(F.col(date)), F.col("rate_month"))])
     quotient = safe_divide(F.col(value), F.coalesce(F.col("rate"), F.lit(1).cast(rates.df.schema["rate"].dataType)))
     if is_decimal(df, value):
@@ -35,8 +38,12 @@ def fx_divide(df: DataFrame, rates: Lookup, date: str, value: str) -> DataFrame:
 
 
 def fx_multiply(df: DataFrame, rates: Lookup, date: str, value: str) -> DataFrame:
-    """Value times the rate of its month and source; unchanged where there is none."""
-    on = [(month_start(F.col(date)), F.col("rate_month")), (F.col("source"), F.col("rate_source"))]
+    """Value times the rate of its month, source and ``rate_department``; unchanged where there is none."""
+    on = [
+        (month_start(F.col(date)), F.col("rate_month")),
+        (F.col("source"), F.col("rate_source")),
+        (F.col("rate_department"), F.col("rate_of")),
+    ]
     joined = lookup_join(df, rates, on)
     v = F.col(value).cast(AMOUNT) if is_decimal(df, value) else F.col(value)
     product = v * F.col("rate")

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import AMOUNT, MILLIONTH, is_decimal, rescale
 from ledgerloom.operators import pnl
 from ledgerloom.operators.currency import fx_multiply, rate_lookup
-from ledgerloom.plans.entities import EMPTY_TEXT, OUTPUT, Codes
+from ledgerloom.plans.entities import DETAIL_COLUMNS, EMPTY_TEXT, OUTPUT, Codes
 from ledgerloom.plans.star import Star, Tables
 from ledgerloom.sources.workspace import materialised
 
-COLUMNS = ("date", "value", "expense_code", "department_code", "source")
+COLUMNS = DETAIL_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -54,9 +53,10 @@ def parts(codes: Codes) -> tuple[Part, ...]:
     )
 
 
-def report_details(report: DataFrame) -> DataFrame:
+def report_details(report: DataFrame, entity: str) -> DataFrame:
     """The detail rows of a plan-versus-actual dataset; prunes to their folders in a laid-out table."""
-    return report.filter(F.col("value_type").isin(*pnl.DETAIL_TYPES)).select(*COLUMNS)
+    rows = report.filter(F.col("value_type").isin(*pnl.DETAIL_TYPES))
+    return rows.select(F.lit(entity).alias("entity"), *COLUMNS)
 
 
 def direct_ledger(tables: Tables, ledger: str) -> DataFrame:
@@ -90,25 +90,41 @@ def rates(tables: Tables) -> DataFrame:
     return pnl.tag_source(tables["exchange_rate"], tables["exchange_rate_planning"])
 
 
-def part_rows(part: Part, details: Callable[[str], DataFrame], tables: Tables) -> DataFrame:
-    """Rows of one part in millions, with the segment they belong to."""
-    if part.entity is not None:
-        rows = details(part.entity).select(*COLUMNS)
-        if part.rate_department is not None:
-            rows = fx_multiply(rows, rate_lookup(rates(tables), part.rate_department), "date", "value")
-        rows = rescale(rows, "value", MILLIONTH)
-    elif part.ledger is not None:
-        rows = direct_ledger(tables, part.ledger)
-    else:
-        rows = eliminations(tables).filter(F.col("type") == part.elimination).select(*COLUMNS)
-    if is_decimal(rows, "value"):
-        rows = rows.withColumn("value", F.col("value").cast(AMOUNT))
-    return rows.withColumn("segment", F.lit(part.segment))
+def _mapped(column: str, values: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col(column)]
 
 
-def union_scaled(codes: Codes, details: Callable[[str], DataFrame], tables: Tables) -> DataFrame:
-    """All parts of the company; ``details`` gives an entity's detail rows by its name."""
-    return reduce(DataFrame.unionByName, [part_rows(p, details, tables) for p in parts(codes)])
+def converted(codes: Codes, details: DataFrame, tables: Tables) -> DataFrame:
+    """Entity rows in the group's currency: one join converts all entities that report in another."""
+    currencies = {p.entity: p.rate_department for p in parts(codes) if p.rate_department is not None}
+    rows = details.withColumn("rate_department", _mapped("entity", currencies))
+    rate = rate_lookup(rates(tables), *currencies.values())
+    return fx_multiply(rows, rate, "date", "value").drop("rate_department")
+
+
+def routed_eliminations(codes: Codes, tables: Tables) -> DataFrame:
+    """Elimination entries with the segment their type belongs to; other types are left out."""
+    segments = {p.elimination: p.segment for p in parts(codes) if p.elimination is not None}
+    rows = eliminations(tables).filter(F.col("type").isin(*segments))
+    return rows.withColumn("segment", _mapped("type", segments)).select("segment", *COLUMNS)
+
+
+def union_scaled(codes: Codes, details: DataFrame, tables: Tables) -> DataFrame:
+    """All parts of the company in millions, with their segments.
+
+    ``details`` has the detail rows of all entities, named in a column ``entity``.
+    """
+    segments = {p.entity: p.segment for p in parts(codes) if p.entity is not None}
+    entities = details.filter(F.col("entity").isin(*segments))
+    scaled = rescale(converted(codes, entities, tables), "value", MILLIONTH)
+    scaled = scaled.withColumn("segment", _mapped("entity", segments)).select("segment", *COLUMNS)
+    ledgers = [
+        direct_ledger(tables, p.ledger).withColumn("segment", F.lit(p.segment))
+        for p in parts(codes)
+        if p.ledger is not None
+    ]
+    rows = reduce(DataFrame.unionByName, [scaled, *ledgers, routed_eliminations(codes, tables)])
+    return rows.withColumn("value", F.col("value").cast(AMOUNT)) if is_decimal(rows, "value") else rows
 
 
 def tag_company(own: DataFrame, peer_fact: DataFrame, codes: Codes) -> DataFrame:
@@ -118,7 +134,7 @@ def tag_company(own: DataFrame, peer_fact: DataFrame, codes: Codes) -> DataFrame
 
 
 def consolidated_rows(
-    codes: Codes, details: Callable[[str], DataFrame], tables: Tables, star: Star
+    codes: Codes, details: DataFrame, tables: Tables, star: Star
 ) -> DataFrame:
     fact = tag_company(union_scaled(codes, details, tables), tables["peer_fact"], codes)
     return pnl.enrich(fact, star.expense, star.department).withColumn(
@@ -143,7 +159,7 @@ def stacked(rows: DataFrame, sums: DataFrame) -> DataFrame:
     return pnl.stack_rows(pnl.label_units(rows), sums, EMPTY_TEXT)
 
 
-def consolidate(codes: Codes, details: Callable[[str], DataFrame], tables: Tables, star: Star) -> DataFrame:
+def consolidate(codes: Codes, details: DataFrame, tables: Tables, star: Star) -> DataFrame:
     """The dataset: detail rows, month subtotals, and on every row the revenue of its year.
 
     The detail rows gather some fifty ledgers and are used three times, so they are

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import DataFrame
@@ -228,6 +229,52 @@ def subtotals(spec: EntitySpec, rows: DataFrame) -> DataFrame:
     return pnl.with_previous(pnl.rollup_year(months, keys, profits), keys, 12)
 
 
+DETAIL_COLUMNS = ("date", "value", "expense_code", "department_code", "source")
+
+
+def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> DataFrame:
+    """``DETAIL_COLUMNS`` and ``entity`` of every dataset's detail rows, in one pass.
+
+    The parent's ledgers feed five blocks; here they are read once and a row's block
+    decides its entity and measure. All ledgers are united before the dimension joins,
+    which compare conformed keys, so upper and lower case make no difference.
+    """
+    blocks = {s.block: s for s in specs.values() if s.block is not None}
+    shared = pnl.tag_source(
+        *[
+            pnl.union_facts([_measures(tables[b.table]) for b in branches], _MEASURES)
+            for branches in (_MAIN_ACTUAL, _MAIN_PLANNING)
+        ]
+    ).withColumn("entity", F.lit(None).cast("string"))
+    own = [
+        fact_rows(s, tables).withColumn("entity", F.lit(s.name)) for s in specs.values() if s.block is None
+    ] + [
+        detail_rows(s.detail, s.measure, tables).withColumn("entity", F.lit(s.name))
+        for s in specs.values()
+        if s.detail is not None
+    ]
+    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [shared, *own])
+    rows = pnl.enrich(facts, star.expense, star.department)
+
+    entity, value = F.col("entity"), F.col("value")
+    for block, spec in blocks.items():
+        in_block = F.col("entity").isNull() & (F.col("ob_code") == block)
+        entity = F.when(in_block, F.lit(spec.name)).otherwise(entity)
+        value = F.when(in_block, F.col(spec.measure)).otherwise(value)
+    rows = rows.withColumns({"entity": entity, "value": value}).filter(F.col("entity").isNotNull())
+    flipped = [s.name for s in specs.values() if s.flip_planned]
+    turned = pnl.flip_planned_cost(F.col("value"), F.col("expense_type_5_id"), F.col("source"))
+    value = F.when(F.col("entity").isin(*flipped), turned).otherwise(F.col("value"))
+    return rows.withColumn("value", value).select("entity", *DETAIL_COLUMNS)
+
+
+_MEASURES = ("date", FINANCIAL, MANAGEMENT, "department_code", "expense_code")
+
+
+def _measures(ledger: DataFrame) -> DataFrame:
+    return ledger.withColumnRenamed("accounting_date", "date").select(*_MEASURES)
+
+
 OUTPUT = (
     "date",
     "value",

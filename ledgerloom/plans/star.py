@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators.lookup import Lookup
 from ledgerloom.operators.pnl import department_dim, expense_dim
 from ledgerloom.sources.tables import read
+from ledgerloom.sources.workspace import materialised
 
 Tables = Mapping[str, DataFrame]
 
@@ -28,12 +29,16 @@ class CatalogTables(dict):
 
 @dataclass
 class Star:
+    """The two dimensions every dataset is enriched with.
+
+    Each is joined up to a few dozen times, so it is written once with its names.
+    """
+
     expense: Lookup
     department: Lookup
 
     @classmethod
     def of(cls, tables: Tables) -> "Star":
-        return cls(
-            Lookup(expense_dim(tables["dim_expense_type"], tables["dim_expense_type_5"])),
-            Lookup(department_dim(tables["dim_department"], tables["dim_ob"])),
-        )
+        expense = expense_dim(tables["dim_expense_type"], tables["dim_expense_type_5"])
+        department = department_dim(tables["dim_department"], tables["dim_ob"])
+        return cls(Lookup(materialised(expense)), Lookup(materialised(department)))

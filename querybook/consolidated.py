@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cache, reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import pnl
-from ledgerloom.operators.currency import fx_multiply, rate_lookup
 from ledgerloom.plans import consolidated as c
-from ledgerloom.plans.entities import plan_actual
+from ledgerloom.plans.entities import all_details, plan_actual
 from ledgerloom.sources.workspace import materialised
 from querybook import sqlsteps as s
 from querybook.fixtures import CODES, Inputs
-from querybook.gold import SPECS, rows_of
+from querybook.gold import SPECS
 from querybook.registry import cte, query
 
 # Consolidated amounts are in millions and keep six digits.
@@ -27,9 +23,9 @@ def millions(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast(MILLIONS) for n in names})
 
 
-def details_of(i: Inputs) -> Callable[[str], DataFrame]:
-    """An entity's detail rows; the same rows its dataset holds as 'e' and 'r'."""
-    return cache(lambda name: rows_of(i, name).select(*c.COLUMNS))
+def details_of(i: Inputs) -> DataFrame:
+    """The detail rows of all entities; the same rows their datasets hold as 'e' and 'r'."""
+    return all_details(SPECS, i.tables, i.star)
 
 
 def rows_all(i: Inputs) -> DataFrame:
@@ -114,18 +110,15 @@ _SIX = s.money("value", 6)
     " UNION ALL ".join(f"SELECT '{n}' AS entity, {_KEPT}, {_SIX} FROM {{x_{n}}}" for n in ENTITIES),
 )
 def detail_rows(i: Inputs) -> DataFrame:
-    details = details_of(i)
-    return reduce(
-        DataFrame.unionByName, [millions(details(n)).withColumn("entity", F.lit(n)) for n in ENTITIES]
-    )
+    return millions(details_of(i).filter(F.col("entity").isin(*ENTITIES)))
 
 
 @query(
     "con_report_details",
-    f"SELECT {_KEPT}, {_SIX} FROM {{erc_apac}} WHERE value_type IN ('e', 'r')",
+    f"SELECT 'apac' AS entity, {_KEPT}, {_SIX} FROM {{erc_apac}} WHERE value_type IN ('e', 'r')",
 )
 def report_details(i: Inputs) -> DataFrame:
-    return millions(c.report_details(plan_actual(SPECS["apac"], i.tables, i.star)))
+    return millions(c.report_details(plan_actual(SPECS["apac"], i.tables, i.star), "apac"))
 
 
 @query(
@@ -157,11 +150,8 @@ def rates(i: Inputs) -> DataFrame:
     f"SELECT 'japan' AS entity, {_KEPT}, {_SIX} FROM {{fx_japan}} UNION ALL SELECT 'korea', {_KEPT}, {_SIX} FROM {{fx_korea}}",
 )
 def fx_multiplied(i: Inputs) -> DataFrame:
-    details, rate = details_of(i), rate_lookup(c.rates(i.tables), CODES.japan_department)
-    japan, korea = (
-        millions(fx_multiply(details(n), rate, "date", "value")).withColumn("entity", F.lit(n)) for n in ("japan", "korea")
-    )
-    return japan.unionByName(korea)
+    details = details_of(i).filter(F.col("entity").isin("japan", "korea"))
+    return millions(c.converted(CODES, details, i.tables))
 
 
 @query("con_union_scaled", f"SELECT segment, {_KEPT}, {_SIX} FROM {{x_own}}")
@@ -175,8 +165,7 @@ def union_scaled(i: Inputs) -> DataFrame:
                {_KEPT}, {_SIX} FROM {{x_elimination}}""",
 )
 def elimination_routing(i: Inputs) -> DataFrame:
-    routed = [p for p in c.parts(CODES) if p.elimination is not None]
-    return millions(reduce(DataFrame.unionByName, [c.part_rows(p, details_of(i), i.tables) for p in routed]))
+    return millions(c.routed_eliminations(CODES, i.tables))
 
 
 @query("con_company_tag", "SELECT company, source, count(*) AS n, CAST(sum(value) AS DECIMAL(28,6)) AS value FROM {x_fact} GROUP BY ALL")
