@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_YEAR, _MONTH, _DAY = "([0-9]{4})", "(0?[1-9]|1[0-2])", "(0?[1-9]|[12][0-9]|3[01])"
+_TIME = "(?:[ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\\.[0-9]+)?)?)?"
+
 # The formats tried, in this order, on a whole fact column.
 COLUMN_FORMATS = ("M/d/yyyy", "d/M/yyyy", "yyyy-M-d")
 
-# The formats the lenient parser accepts, cell by cell.
-LENIENT_FORMATS = (
-    "yyyy-M-d",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d'T'H:m:s",
-    "yyyy/M/d",
-    "M/d/yyyy",
-    "M/d/yyyy H:m:s",
-    "d/M/yyyy",
-    "d-MMM-yyyy",
-    "d MMM yyyy",
-    "yyyyMMdd",
-)
+# The numeric formats as patterns, with the order that turns them into yyyy-M-d. Cells of
+# another format fail the pattern; a formatter would raise an exception inside for each.
+_PATTERNS = {
+    "M/d/yyyy": (f"{_MONTH}/{_DAY}/{_YEAR}", "$3-$1-$2"),
+    "d/M/yyyy": (f"{_DAY}/{_MONTH}/{_YEAR}", "$3-$2-$1"),
+    "yyyy-M-d": (f"{_YEAR}-{_MONTH}-{_DAY}", "$1-$2-$3"),
+    "yyyy/M/d": (f"{_YEAR}/{_MONTH}/{_DAY}", "$1-$2-$3"),
+    "d-M-yyyy": (f"{_DAY}-{_MONTH}-{_YEAR}", "$3-$2-$1"),
+    "yyyyMMdd": ("([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+}
+
+# The formats the lenient parser tries on each cell, a time of day may follow.
+LENIENT_FORMATS = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d-M-yyyy", "yyyyMMdd")
 
 
-def parse_date(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("date")
+def parse_date(c: Column, fmt: str, with_time: bool = False) -> Column:
+    """Date of a cell in one of the formats above, else NULL."""
+    pattern, order = _PATTERNS[fmt]
+    pattern = f"^{pattern}{_TIME if with_time else ''}$"
+    return F.when(c.rlike(pattern), F.regexp_replace(c, pattern, order).try_cast("date"))
 
 
 def to_date_lenient(c: Column) -> Column:
     """First format that fits the cell, NULL when none does."""
-    return F.coalesce(*[parse_date(c, fmt) for fmt in LENIENT_FORMATS])
+    return F.coalesce(*[parse_date(c, fmt, with_time=True) for fmt in LENIENT_FORMATS])
 
 
 def month_start(c: Column) -> Column:

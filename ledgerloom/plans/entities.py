@@ -201,19 +201,33 @@ def detail_rows(detail: Detail, measure: str, tables: Tables) -> DataFrame:
     return rescale(rows, "value", -MILLION if detail.subtract else MILLION)
 
 
-def pnl_rows(spec: EntitySpec, tables: Tables, star: Star) -> DataFrame:
-    """Enriched, classified detail rows of one dataset."""
-    rows = pnl.enrich(fact_rows(spec, tables), star.expense, star.department, spec.key_case, spec.block)
+def pnl_rows(spec: EntitySpec, tables: Tables, star: Star, by_month: bool = False) -> DataFrame:
+    """Enriched, classified detail rows of one dataset (or, ``by_month``, their month sums)."""
+
+    def enriched(fact: DataFrame, block: str | None = None) -> DataFrame:
+        if by_month:
+            fact = pnl.month_facts(fact)
+        return pnl.enrich(fact, star.expense, star.department, spec.key_case, block)
+
+    rows = enriched(fact_rows(spec, tables), spec.block)
     if spec.detail is not None:
         # The shared detail is not filtered by block.
-        shared = detail_rows(spec.detail, spec.measure, tables)
-        rows = rows.unionByName(pnl.enrich(shared, star.expense, star.department, spec.key_case))
+        rows = rows.unionByName(enriched(detail_rows(spec.detail, spec.measure, tables)))
     kind = F.col("expense_type_5_id")
     if spec.flip_planned:
         rows = rows.withColumn("value", pnl.flip_planned_cost(F.col("value"), kind, F.col("source")))
     return rows.withColumn("value_type", pnl.classify(kind))
 
 
+def sum_rows(spec: EntitySpec, tables: Tables, star: Star, rows: DataFrame) -> DataFrame:
+    """The rows to take subtotals of.
+
+    Broadcast dimensions shuffle nothing, so the detail rows do. Larger ones shuffle the
+    facts to be joined, which are then added up first; a hot code becomes a few rows.
+    """
+    return rows if star.is_small else pnl_rows(spec, tables, star, by_month=True)
+
+
 def subtotals(spec: EntitySpec, rows: DataFrame) -> DataFrame:
     """Subtotal rows with the previous period's value.
 
@@ -310,7 +324,7 @@ def plan_actual(spec: EntitySpec, tables: Tables, star: Star, yearly_revenue: bo
     only January's revenue is ever found; ``yearly_revenue`` attaches the year's instead.
     """
     rows = pnl_rows(spec, tables, star)
-    sums = subtotals(spec, rows)
+    sums = subtotals(spec, sum_rows(spec, tables, star, rows))
     if spec.grain == "month":
         revenue = sums.filter(F.col("value_type") == pnl.TOTAL_REVENUE)
         out = pnl.attach_revenue(stacked(spec, rows, sums), revenue, ["source"], default=spec.missing_revenue)

@@ -37,6 +37,10 @@ class Star:
     expense: Lookup
     department: Lookup
 
+    @property
+    def is_small(self) -> bool:
+        return self.expense.is_small and self.department.is_small
+
     @classmethod
     def of(cls, tables: Tables) -> "Star":
         expense = expense_dim(tables["dim_expense_type"], tables["dim_expense_type_5"])

@@ -13,10 +13,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session (a test) may fall back to a temporary folder of its own.
     """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir")
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")

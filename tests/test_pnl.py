@@ -11,6 +11,7 @@ from ledgerloom.functions.text import unit_label
 from ledgerloom.operators import pnl
 from ledgerloom.operators.lookup import Lookup
 from ledgerloom.plans import entities as e
+from ledgerloom.plans.star import Star
 from querybook.fixtures import CODES
 
 D = dt.date
@@ -167,3 +168,16 @@ def test_by_department_yearly_revenue(inputs):
     quirk = e.plan_actual(spec, inputs.tables, inputs.star)
     assert fixed.columns == quirk.columns
     assert fixed.filter("str_value is not null").count() >= quirk.filter("str_value is not null").count()
+
+
+@pytest.mark.parametrize("name", ["vietnam", "korea"])
+def test_large_dimensions_give_the_same_dataset(inputs, name):
+    """Shuffled lookups with hot keys apart, subtotals from month sums."""
+    star = Star(
+        Lookup(inputs.star.expense.df, broadcast_rows=20, hot_key_rows=20),
+        Lookup(inputs.star.department.df, broadcast_rows=2, hot_key_rows=200),
+    )
+    assert not star.is_small
+    small = e.plan_actual(SPECS[name], inputs.tables, inputs.star)
+    large = e.plan_actual(SPECS[name], inputs.tables, star)
+    assert rows(large.columns, large.collect()) == rows(small.columns, small.collect())
