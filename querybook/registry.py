@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from querybook.fixtures import LOADED, VIEWS, Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 CTES: dict[str, str] = {}
 
@@ -22,6 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable:
     def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = with_ctes(sql)
