@@ -14,11 +14,8 @@ from querybook import QUERIES
 HEADLINE = (
     "gld_plan_actual",
     "gld_dataset_japan",
-    "gld_dataset_korea",
     "gld_attach_revenue_jan",
-    "con_union_scaled",
     "con_plan_actual",
-    "alc_support",
     "alc_bo",
     "alc_overhead",
     "slv_ledger_two_measure",
@@ -27,7 +24,7 @@ HEADLINE = (
     "ing_replace_year",
     "dq_relationships",
 )
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def main() -> None:
