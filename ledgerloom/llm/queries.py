@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bin_packing, piece_codec, token_counts, token_files
+from ledgerloom.llm import bin_packing, line_dedup, piece_codec, token_counts, token_files
 from ledgerloom.llm.stage import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+@query("op1_line_dedup", line_dedup.ORACLE_SQL.format(documents="documents"))
+def line_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.digest(line_dedup.dedup_lines(docs, Scratch(spark, "line-dedup")))
+
+
 @query("op2_token_files")
 def token_file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "token-files")

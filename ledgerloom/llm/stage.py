@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.sources.workspace import shared_folder
 
@@ -110,3 +111,16 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - (ends - lengths), lengths)
+
+
+def packed(docs: DataFrame, *names: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The named columns and a struct ``rest`` of the others, so that no name can clash."""
+    taken = {n.lower() for n in (*names, *without)}
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
+    return docs.select(*names, F.struct(*others, F.lit(0).alias("_")).alias("rest"))
+
+
+def unpacked(rows: DataFrame, *names: str) -> DataFrame:
+    """The inverse: the first columns of ``names`` in place, then what ``rest`` holds."""
+    others = [f for f in rows.schema["rest"].dataType.names if f != "_"]
+    return rows.select(*names[:2], *(F.col(f"rest.`{c}`").alias(c) for c in others), *names[2:])
