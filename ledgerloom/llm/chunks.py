@@ -2,7 +2,7 @@
 encoded once, and the ids return to their places by position.
 
 A table belongs to one Python worker and is kept from task to task, at most
-``TABLE_ENTRIES`` chunks of it; beyond that it starts anew, which costs time, not results.
+twice ``TABLE_ENTRIES`` chunks of it; which chunks are kept costs time, not results.
 """
 
 from __future__ import annotations
@@ -68,20 +68,25 @@ def _cut(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> tuple[pa.Str
 
 
 class ChunkTable:
-    """Values (bytes) of distinct chunks, at most ``entries`` of them."""
+    """Values (bytes) of distinct chunks in two generations of at most ``entries`` each: when
+    the younger is full it becomes the older, and chunks seen again move to the younger."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = TABLE_ENTRIES):
-        self._encode, self._entries, self._known = encode, entries, {}
+        self._encode, self._entries = encode, entries
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def values(self, chunks: list[str]) -> list[bytes]:
-        known = self._known
-        missing = [c for c in chunks if c not in known]
-        fresh = dict(zip(missing, self._encode(missing), strict=True))
-        out = [known[c] if c in known else fresh[c] for c in chunks]
-        if len(known) + len(fresh) > self._entries:
-            known.clear()
-        if len(fresh) <= self._entries:
-            known.update((c, v) for c, v in fresh.items() if len(c) <= LONG_CHUNK)
+        """Values of distinct chunks."""
+        young, old = self._young, self._old
+        found = [young.get(c) or old.get(c) for c in chunks]
+        missing = [c for c, v in zip(chunks, found, strict=True) if v is None]
+        fresh = iter(self._encode(missing))
+        out = [next(fresh) if v is None else v for v in found]
+        if len(young) >= self._entries:
+            self._old, self._young = young, {}
+        if len(chunks) <= self._entries:
+            self._young.update((c, v) for c, v in zip(chunks, out, strict=True) if len(c) <= LONG_CHUNK)
         return out
 
     def joined(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunks import TABLE_ENTRIES, ChunkTable, cut_spaces
-from ledgerloom.llm.stage import mapped, slices, texts_of
+from ledgerloom.llm.stage import binary, mapped, slices, texts_of
 
 MARKER = "▁"
 
@@ -135,8 +135,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), "<u4"), np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])])
+    data, offsets = binary(column)
+    return data.view("<u4"), offsets // 4
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

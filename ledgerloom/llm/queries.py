@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bin_packing, line_dedup, piece_codec, token_counts, token_files
+from ledgerloom.llm import bin_packing, cap_filters, dimension_scan, line_dedup, piece_codec, token_counts, token_files
 from ledgerloom.llm.stage import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,11 @@ def token_file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, folder))
 
 
+@query("op3_cap_filters")
+def near_vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark, "cap-filters"))
+
+
 @query("op4_token_counts")
 def token_count_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -54,3 +60,9 @@ def bin_packing_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = bin_packing.with_crc(bin_packing.token_pieces(table(spark, sf_dir, "documents"), path, 1))
     return bin_packing.assign(Scratch(spark, "bin-packing").save(pieces, "pieces"))
+
+
+@query("op8_dimension_scan")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = F.col("vec_id") % 50 == 0
+    return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), Scratch(spark, "dimension-scan"), asked)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -71,12 +71,29 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+PORTION = 4 << 20
+
+
+def portions(batches: Iterable[pa.RecordBatch], limit: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts and binaries have about ``limit`` bytes, or of one
+    row: bounds what a task holds in memory at once."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                size += np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: batch.num_rows + 1])
+        portion = np.cumsum(size) // limit
+        starts = np.flatnonzero(np.diff(portion, prepend=-1))
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(a, b - a)
+
+
 def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` of a function of one batch; batches without rows are skipped."""
+    """``mapInArrow`` of a function of one portion of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := function(batch)) is not None:
+        for batch in portions(batches):
+            if (out := function(batch)) is not None:
                 yield out
 
     return df.mapInArrow(run, schema)
@@ -96,6 +113,11 @@ def utf8(array: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64) - offsets[0]
 
 
+def binary(array: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of a binary column without nulls."""
+    return utf8(array)
+
+
 def slices(values: np.ndarray, bounds: np.ndarray) -> pa.LargeBinaryArray:
     """Little-endian bytes of ``values`` cut at ``bounds`` (indices of values)."""
     flat = np.ascontiguousarray(values)

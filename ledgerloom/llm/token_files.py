@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunks import bpe_ids, tokenizer, with_end
-from ledgerloom.llm.stage import Scratch, mapped, slices, texts_of
+from ledgerloom.llm.stage import Scratch, binary, mapped, portions, slices, texts_of
 
 BLOCK_IDS = 1 << 18
 IDS = "shard int, first long, doc_id long, ids binary"
@@ -83,7 +83,7 @@ def tokenize_in_order(docs: DataFrame, tokenizer_path: str, end_id: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, first = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in portions(batches):
             ids, bounds = with_end(*bpe_ids(tokenizer_path, texts_of(batch.column(1))), end_id)
             columns = [
                 pa.array(np.full(batch.num_rows, shard, np.int32)),
@@ -104,8 +104,8 @@ def rank_ids(ids: DataFrame, vocabulary: int) -> list[int]:
     """The ids of a vocabulary by frequency over all documents; its size bounds the list."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-        n = np.bincount(flat)
+        data, _ = binary(batch.column(0))
+        n = np.bincount(data.view("<u4"))
         seen = np.flatnonzero(n)
         return pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], ["id", "n"])
 
@@ -138,7 +138,7 @@ def code_blocks(ids: DataFrame, id_of_rank: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size, after = 0, None
-        for batch in batches:
+        for batch in portions(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 n = len(row[3]) // 4
                 if rows and (size + n > BLOCK_IDS or (row[0], row[1]) != after):
@@ -176,7 +176,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     placed = blocks.join(shards, "shard").withColumn("first", F.col("first") + F.col("before"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             for row in batch.to_pylist():
                 counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
                 ids = id_of_rank[decode_ranks(row["control"], row["codes"], row["n_ids"])]
