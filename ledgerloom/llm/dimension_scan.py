@@ -81,7 +81,7 @@ def nearest(
     is_query: F.Column,
     k: int = 5,
     lists: int = 64,
-    probes: int = 40,
+    probes: int = 44,
     sample: int = 20_000,
     block: int = 4096,
     query_block: int = 512,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bin_packing, cap_filters, dimension_scan, line_dedup, piece_codec, token_counts, token_files
+from ledgerloom.llm import bin_packing, cap_filters, dimension_scan, line_dedup, piece_codec, token_counts, token_files, toxicity
 from ledgerloom.llm.stage import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,10 @@ def bin_packing_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.col("vec_id") % 50 == 0
     return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), Scratch(spark, "dimension-scan"), asked)
+
+
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
