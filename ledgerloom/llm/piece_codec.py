@@ -149,19 +149,24 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return mapped(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, text string")
 
 
-def digest(decoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and SHA-256 of the decimal ids and of the decoded text."""
+def digest(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens and SHA-256 of the decimal ids and of the text decoded from them.
+
+    Encoding and decoding run in one pass, so that a task keeps a single Python worker.
+    """
+    check_pieces(path)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, bounds = _ids_of(batch.column(1))
+        ids, bounds = encode_texts(path, texts_of(batch.column(1)))
         flat, at = _gather(_decimals(path), ids)
         spelled = zip(at[bounds[:-1]], at[bounds[1:]], strict=True)
         columns = [
             batch.column(0),
             pa.array(np.diff(bounds)),
             pa.array([hashlib.sha256(flat[a : b - 1]).hexdigest() for a, b in spelled]),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in batch.column(2).to_pylist()]),
+            pa.array([hashlib.sha256(t).hexdigest() for t in decode_ids(path, ids, bounds)]),
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return mapped(decoded, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bin_packing, cap_filters, dimension_scan, line_dedup, piece_codec, token_counts, token_files, toxicity
+from ledgerloom.llm import (
+    bin_packing,
+    cap_filters,
+    compact_windows,
+    dimension_scan,
+    line_dedup,
+    order_minhash,
+    piece_codec,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from ledgerloom.llm.stage import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,8 +62,12 @@ def token_count_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_piece_codec")
 def piece_codec_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_codec.digest(piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents"), path), path), path)
+    return piece_codec.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_order_minhash")
+def near_document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_documents(table(spark, sf_dir, "documents"), Scratch(spark, "order-minhash"))
 
 
 @query("op7_bin_packing")
@@ -73,3 +88,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op10_compact_windows")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeats(table(spark, sf_dir, "documents"), Scratch(spark, "compact-windows"))

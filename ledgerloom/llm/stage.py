@@ -71,7 +71,7 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-PORTION = 4 << 20
+PORTION = 2 << 20
 
 
 def portions(batches: Iterable[pa.RecordBatch], limit: int = PORTION) -> Iterator[pa.RecordBatch]:
@@ -127,12 +127,12 @@ def slices(values: np.ndarray, bounds: np.ndarray) -> pa.LargeBinaryArray:
     )
 
 
-def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The indices start, start + 1, ... of each range, one after the other."""
-    lengths = np.asarray(lengths, np.int64)
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - (ends - lengths), lengths)
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by sorting."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
 
 
 def packed(docs: DataFrame, *names: str, without: tuple[str, ...] = ()) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.stage import mapped, packed, texts_of, unpacked
+from ledgerloom.llm.stage import distinct, mapped, packed, texts_of, unpacked
 
 BITS = 20
 SIZES = (3, 4, 5)
@@ -58,7 +58,7 @@ def ngrams(texts: pa.StringArray, wanted: np.ndarray | None = None) -> tuple[np.
         else:
             at = np.flatnonzero(inside)
             found.append((owner[at] << BITS) | hashed[at])
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    pairs = distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
