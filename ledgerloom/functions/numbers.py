@@ -36,6 +36,11 @@ def to_int(c: Column) -> Column:
     return F.round(to_float(c)).try_cast("int")
 
 
+def to_long(c: Column) -> Column:
+    """The same for 64 bits, by way of a decimal, which keeps all digits."""
+    return F.round(F.when(c.rlike(_NUMBER), F.trim(c).try_cast("decimal(38,10)"))).try_cast("bigint")
+
+
 def zero_default(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 

@@ -34,8 +34,8 @@ def default_text(c: Column, default: str = MISSING_KEY) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    """NULL for cells that are empty or hold only whitespace."""
-    return F.when(c.rlike(r"^\s*$"), F.lit(None)).otherwise(c)
+    """NULL for cells that are empty or hold only white space, the non-breaking kinds included."""
+    return F.when(c.rlike(r"(?U)^\s*$"), F.lit(None)).otherwise(c)
 
 
 def null_tokens(c: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:

@@ -46,7 +46,6 @@ class FactSpec:
     texts: tuple[Text, ...] = ()
     excluded: dict[str, tuple[str, ...]] = field(default_factory=dict)
     date: str = "accounting_date"
-    zero_test: DataType | None = None
 
 
 @dataclass(frozen=True)
@@ -62,11 +61,7 @@ def conform_fact(df: DataFrame, spec: FactSpec) -> DataFrame:
         *[t.column() for t in spec.texts],
     )
 
-    def is_zero(name: str) -> Column:
-        c = F.col(name)
-        return (c.cast(spec.zero_test) if spec.zero_test else c) == 0
-
-    all_zero = reduce(lambda a, b: a & b, [is_zero(m) for m in spec.measures])
+    all_zero = reduce(lambda a, b: a & b, [F.col(m) == 0 for m in spec.measures])
     no_key = reduce(
         lambda a, b: a | b, [F.col(k).isin(*PLACEHOLDER_KEYS, *spec.excluded.get(k, ())) for k in spec.keys]
     )

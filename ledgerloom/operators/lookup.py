@@ -1,8 +1,8 @@
 """Dimension lookups that hold for small and large dimensions and for hot keys.
 
-A dimension is broadcast only after its rows have been counted. Above the limit the
-join shuffles, and keys that hold very many rows (or no key at all) are taken out of
-the shuffle first, so that no task receives one of them whole.
+A dimension is broadcast only after its bytes have been measured. Above the limit the
+join shuffles both sides once: rows without a key get a salt that nothing matches, so
+they spread, and AQE splits the partitions of keys that hold very many rows.
 """
 
 from __future__ import annotations
@@ -12,43 +12,44 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Rows up to which a counted dimension is broadcast (about 100 MB at 200 bytes a row).
-BROADCAST_ROWS = 500_000
+# Bytes up to which a measured dimension is broadcast.
+BROADCAST_BYTES = 100 << 20
 
-# In a shuffled join, a key with more rows than this is joined apart from the rest ...
-HOT_KEY_ROWS = 1_000_000
-# ... for at most this many keys, largest first; the next ones are left to AQE.
-HOT_KEYS = 1_000
+# Places among which the rows without a key are dealt in a shuffled join.
+SALTS = 4096
 
 
 @dataclass
 class Lookup:
-    """A dimension to join facts with; counted once, on first use."""
+    """A dimension to join facts with; measured once, on first use."""
 
     df: DataFrame
-    broadcast_rows: int = BROADCAST_ROWS
-    hot_key_rows: int = HOT_KEY_ROWS
-    _rows: int | None = field(default=None, repr=False)
+    broadcast_bytes: int = BROADCAST_BYTES
+    _bytes: int | None = field(default=None, repr=False)
 
     @classmethod
     def bounded(cls, df: DataFrame) -> "Lookup":
-        """A dimension small by construction, such as one row per month; not counted."""
-        return cls(df, _rows=0)
+        """A dimension small by construction, such as one row per month; not measured."""
+        return cls(df, _bytes=0)
 
     @property
-    def rows(self) -> int:
-        if self._rows is None:
-            self._rows = self.df.count()
-        return self._rows
+    def bytes(self) -> int:
+        """Its size in memory: 8 bytes a column and row, and the lengths of its texts."""
+        if self._bytes is None:
+            texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in self.df.schema if isinstance(f.dataType, StringType)]
+            width = reduce(Column.__add__, texts, F.lit(8 * (len(self.df.columns) + 1)))
+            self._bytes = self.df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+        return self._bytes
 
     @property
     def is_small(self) -> bool:
-        return self.rows <= self.broadcast_rows
+        return self.bytes <= self.broadcast_bytes
 
     def where(self, condition: Column) -> "Lookup":
-        """The dimension's matching rows; a small one is not counted again."""
-        return replace(self, df=self.df.filter(condition), _rows=self.rows if self.is_small else None)
+        """The dimension's matching rows; a small one is not measured again."""
+        return replace(self, df=self.df.filter(condition), _bytes=self.bytes if self.is_small else None)
 
 
 def lookup_join(rows: DataFrame, lookup: Lookup, on: list[tuple[Column, Column]], how: str = "left") -> DataFrame:
@@ -62,33 +63,17 @@ def lookup_join(rows: DataFrame, lookup: Lookup, on: list[tuple[Column, Column]]
     if lookup.is_small:
         joined = left.join(F.broadcast(right), keys, how)
     else:
-        joined = _shuffled(left, right, keys, how, lookup)
+        joined = _shuffled(left, right, keys, how)
     return joined.drop(*keys)
 
 
-def _shuffled(left: DataFrame, right: DataFrame, keys: list[str], how: str, lookup: Lookup) -> DataFrame:
+def _shuffled(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """One shuffle of either side. NULL never matches, and would hash to one task."""
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed = left.filter(has_key)
-    parts = []
-    if how == "left":
-        # NULL never matches, so these rows need no join (and would all hash to one task).
-        fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]
-        parts.append(left.filter(~has_key).select(*keys, *[c for c in left.columns if c not in keys], *fill))
-    hot = _hot_keys(keyed, keys, lookup.hot_key_rows)
-    if hot is not None:
-        hot_right = right.join(F.broadcast(hot), keys, "left_semi")
-        if hot_right.count() <= lookup.broadcast_rows:
-            hot_left = keyed.join(F.broadcast(hot), keys, "left_semi")
-            parts.append(hot_left.join(F.broadcast(hot_right), keys, how))
-            keyed = keyed.join(F.broadcast(hot), keys, "left_anti")
-    parts.append(keyed.join(right, keys, how))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _hot_keys(rows: DataFrame, keys: list[str], threshold: int) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows: a map-side-combined count, then a top-k."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
-    top = counts.orderBy(F.col("__n").desc()).limit(HOT_KEYS).drop("__n").collect()
-    if not top:
-        return None
-    return rows.sparkSession.createDataFrame(top, rows.select(*keys).schema)
+    if how == "inner":
+        return left.filter(has_key).join(right, keys, how)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)) + 1
+    left = left.withColumn("__salt", F.when(has_key, F.lit(0)).otherwise(spread))
+    # always 0, but not a constant, which would turn the salt into a filter of the join
+    right = right.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(1)))
+    return left.join(right, [*keys, "__salt"], how).drop("__salt")

@@ -254,6 +254,8 @@ def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> Dat
     which compare conformed keys, so upper and lower case make no difference.
     """
     blocks = {s.block: s for s in specs.values() if s.block is not None}
+    if len(blocks) < sum(s.block is not None for s in specs.values()):
+        raise ValueError("two entities have one block code")
     shared = pnl.tag_source(
         *[
             pnl.union_facts([_measures(tables[b.table]) for b in branches], _MEASURES)

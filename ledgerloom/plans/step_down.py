@@ -168,16 +168,12 @@ class StepDown:
 
     def support_by_department(self) -> DataFrame:
         """What each department received, and one row for cost no base department could take."""
-        received = self.support_received().groupBy("date", "department_code")
-        received = received.agg(F.sum("distribution").alias("distribution"))
+        received = self.support_received()
         dates = self.support_base().select("date").distinct()
-        alone = self.support_pool().select("date").join(F.broadcast(dates), "date", "left_anti").limit(1)
-        nobody = alone.select(
-            F.lit(None).cast("date").alias("date"),
-            F.lit(None).cast("string").alias("department_code"),
-            F.lit(None).cast("double").alias("distribution"),
-        )
-        return received.unionByName(nobody)
+        alone = self.support_pool().select("date").join(F.broadcast(dates), "date", "left_anti")
+        nobody = alone.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in received.schema])
+        rows = received.unionByName(nobody).groupBy("date", "department_code")
+        return rows.agg(F.sum("distribution").alias("distribution"))
 
     def bo_pool(self) -> DataFrame:
         pool = self.expense.filter(

@@ -6,6 +6,7 @@ below a header in row 6 each row maps a source column to a target column and typ
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,8 +25,6 @@ from pyspark.sql.types import (
 
 # The sheet's layout (rows count from 1).
 TABLE_ROW, TIME_ROW, HEADER_ROW = 1, 2, 6
-# A sheet with more rows than this is not a contract.
-MAX_ROWS = 10_000
 
 # Declared type names that are coerced, all others are cleaned as text.
 # Accounting is done by the day, so both time types load as dates.
@@ -34,7 +33,10 @@ _TYPES: dict[str, DataType] = {
     "datetime": DateType(),
     "date": DateType(),
     "float": DoubleType(),
+    "double": DoubleType(),
+    "real": DoubleType(),
     "double precision": DoubleType(),
+    "smallint": IntegerType(),
     "int": IntegerType(),
     "integer": IntegerType(),
     "bigint": LongType(),
@@ -55,7 +57,11 @@ class Mapping:
 
     @property
     def data_type(self) -> DataType:
-        return _TYPES.get(self.type_name.strip().lower(), StringType())
+        name, scale = re.fullmatch(r"(.*?)\s*(?:\(([\d\s,]*)\))?", self.type_name.strip().lower()).groups()
+        if scale and name in ("numeric", "decimal"):
+            precision, *rest = (int(x) for x in scale.split(","))
+            return DecimalType(precision, rest[0] if rest else 0)
+        return _TYPES.get(name, StringType())
 
 
 @dataclass(frozen=True)
@@ -75,10 +81,10 @@ class Contract:
         ``fold_case`` lower-cases the mapped names, as fact loads do with their headers.
         Rows with an empty target or type are dropped.
         """
-        used = cells.filter((F.col("row") <= TIME_ROW) | (F.col("row") > HEADER_ROW))
-        rows = used.select("row", "a", "b", "c").orderBy("row").limit(MAX_ROWS + 1).collect()
-        if len(rows) > MAX_ROWS:
-            raise ContractError(f"contract has more than {MAX_ROWS} rows")
+        mapping = (F.col("row") > HEADER_ROW) & F.col("b").isNotNull() & F.col("c").isNotNull()
+        used = cells.filter((F.col("row") <= TIME_ROW) | mapping)
+        # a row a declared column: as long as the schema, which the driver holds anyway
+        rows = used.select("row", "a", "b", "c").orderBy("row").collect()
         head = {r["row"]: r["b"] for r in rows if r["row"] <= TIME_ROW}
         if not head.get(TABLE_ROW):
             raise ContractError("contract names no table")
@@ -92,4 +98,7 @@ class Contract:
             for r in rows
             if r["row"] > HEADER_ROW and r["a"] and r["b"] and r["c"]
         )
-        return cls(head[TABLE_ROW].strip().lower(), time_column, mappings)
+        table = head[TABLE_ROW].strip().lower()
+        if not re.fullmatch(r"\w+", table):
+            raise ContractError(f"not a table name: {table!r}")
+        return cls(table, time_column, mappings)

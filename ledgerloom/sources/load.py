@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ledgerloom.functions.dates import COLUMN_FORMATS, parse_date, to_date_lenient
-from ledgerloom.functions.numbers import to_float, to_int
+from ledgerloom.functions.numbers import to_float, to_int, to_long
 from ledgerloom.functions.text import clean_text
 from ledgerloom.sources.contract import Contract, ContractError
 
@@ -39,9 +41,36 @@ def discover(spark: SparkSession, root: str, glob: str = "*.{csv,parquet}") -> D
 
 
 def read_text_table(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
-    """Exported sheets with every column as text; files stay splittable unless cells hold line breaks."""
+    """Exported sheets with every column as text.
+
+    Files are read by the header each has: columns are put together by name, and files whose
+    headers name other columns are refused. A row with more or fewer cells than its header
+    fails the load. Set ``multi_line`` when cells hold line breaks; only without it are files
+    split between tasks.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    files = [r["path"] for r in listed.load(list(paths)).select("path").collect()]  # names only
     reader = spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", multi_line)
-    return reader.option("escape", '"').csv(list(paths))
+    reader = reader.option("escape", '"').option("mode", "FAILFAST").option("enforceSchema", "false")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in _headers(spark, files):
+        by_header.setdefault(header, []).append(file)
+    if not by_header:
+        return reader.csv(list(paths))
+    columns = sorted(next(iter(by_header)))
+    if any(sorted(header) != columns for header in by_header):
+        raise ContractError(f"files of one table differ in their columns: {sorted(by_header)}")
+    texts = [reader.schema(StructType([StructField(c, StringType()) for c in h])).csv(f) for h, f in by_header.items()]
+    return reduce(DataFrame.unionByName, texts)
+
+
+def _headers(spark: SparkSession, files: list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """Each file with the column names in its first line; one short row a file."""
+    if not files:
+        return []
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("line")).collect()
+    return [(r["file"], tuple(next(csv.reader([r["line"]])))) for r in first if r["line"]]
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -60,7 +89,9 @@ def validate_input(df: DataFrame, contract: Contract) -> None:
 
 
 def require_temporal(contract: Contract) -> None:
-    time = [m for m in contract.mappings if m.target == contract.time_column]
+    time = [m for m in contract.mappings if m.target.lower() == contract.time_column]
+    if contract.time_column and not time:
+        raise ContractError(f"time column {contract.time_column!r} is not mapped")
     if time and not isinstance(time[0].data_type, DateType):
         raise ContractError(f"time column {contract.time_column!r} is not a date: {time[0].type_name}")
 
@@ -111,6 +142,8 @@ def coerce(df: DataFrame, contract: Contract, kind: Kind, mode: Literal["first",
             return to_float(c)
         if isinstance(data_type, IntegerType):
             return to_int(c)
+        if isinstance(data_type, LongType):
+            return to_long(c)
         cleaned = clean_text(c)
         return cleaned if isinstance(data_type, StringType) else cleaned.try_cast(data_type)
 

@@ -133,20 +133,33 @@ def create(i: Inputs) -> DataFrame:
     return shown(i.spark.table(table))
 
 
+def years(loaded: DataFrame) -> list[int]:
+    """The years that rows of a loaded sheet have; a row a year."""
+    year = F.year("accounting_date").alias("year")
+    return sorted(r["year"] for r in loaded.select(year).distinct().collect() if r["year"] is not None)
+
+
 @query(
     "ing_evolve",
-    """SELECT ref_id, CAST(NULL AS VARCHAR) AS date_iso, year(accounting_date) AS load_year FROM {t_loaded} WHERE year(accounting_date) = 1995
-       UNION ALL SELECT CAST(ref_id AS INTEGER), date_iso, 1996 FROM {v_ledger_text} WHERE date_dmy_only LIKE '%/1996'""",
+    """SELECT ref_id, CAST(NULL AS VARCHAR) AS date_iso, year(accounting_date) AS load_year FROM {t_loaded} WHERE year(accounting_date) <= 1995
+       UNION ALL SELECT CAST(ref_id AS INTEGER), date_iso, CAST(right(date_dmy_only, 4) AS INTEGER) FROM {v_ledger_text}
+       WHERE CAST(right(date_dmy_only, 4) AS INTEGER) > 1995""",
 )
 def evolve(i: Inputs) -> DataFrame:
-    """A second contract adds a column; the year loaded before has no values in it."""
+    """A second contract adds a column; the years loaded before have no values in it."""
     schema = workspace(i)
     first = contract(i)
     table = sinks.ensure_table(i.spark, schema, first, by_year=True)
-    sinks.replace_year(load_steps.load(sheet(i), first, "fact", 1995), table, 1995)
+    loaded = materialised(load_steps.load(sheet(i), first, "fact"))
+    for year in years(loaded):
+        if year <= 1995:
+            sinks.replace_year(load_steps.slice_year(loaded, "accounting_date", year), table, year)
     second = contract(i, (12, "date_iso", "DATE_ISO", "varchar"), (13, "note", "NOTE", "varchar"), without=(10,))
     sinks.ensure_table(i.spark, schema, second, by_year=True)
-    sinks.replace_year(load_steps.load(sheet(i), second, "fact", 1996), table, 1996)
+    loaded = materialised(load_steps.load(sheet(i), second, "fact"))
+    for year in years(loaded):
+        if year > 1995:
+            sinks.replace_year(load_steps.slice_year(loaded, "accounting_date", year), table, year)
     return i.spark.table(table).select("ref_id", "date_iso", "load_year")
 
 
@@ -156,13 +169,10 @@ def replace_all(i: Inputs) -> DataFrame:
     table = sinks.ensure_table(i.spark, workspace(i), contract(i))
     sinks.replace_all(rows(i), table)
     sinks.replace_all(rows(i), table)
-    sinks.replace_all(i.spark.table(table).filter(F.col("amount").isNotNull()), table, reads_target=True)
+    sinks.replace_all(i.spark.table(table).filter(F.col("amount").isNotNull()), table)
     return shown(i.spark.table(table))
 
 
-YEARS = range(1995, 2002)
-
-
 @query(
     "ing_replace_year",
     f"{_LOADED} WHERE (year(accounting_date) <> 1996 OR amount > 100000) AND year(accounting_date) <> 1998",
@@ -171,8 +181,8 @@ def replace_year(i: Inputs) -> DataFrame:
     """All years loaded; 1996 reloaded with fewer rows, 1998 with none."""
     table = sinks.ensure_table(i.spark, workspace(i), contract(i), by_year=True)
     loaded = materialised(rows(i))
-    for year in YEARS:
-        sinks.replace_year(load_steps.slice_year(loaded, "accounting_date", year), table, year)
+    for year in years(loaded):
+        sinks.replace_year(load_steps.slice_year(loaded, "accounting_date", year), table, year, "accounting_date")
     again = load_steps.slice_year(loaded, "accounting_date", 1996).filter(F.col("amount") > 100000)
     sinks.replace_year(again, table, 1996)
     sinks.replace_year(loaded.filter(F.lit(False)), table, 1998)

@@ -62,7 +62,7 @@ def orphan_departments(i: Inputs) -> DataFrame:
     )
 
 
-_REPORTS = ("apac", "education")
+_REPORTS = tuple(SPECS)
 _ALLOCATIONS = ("support", "bo", "comtor", "qa", "overhead")
 
 

@@ -161,23 +161,9 @@ _register_dims()
 
 
 def _register_facts() -> None:
-    """One query per conformed fact: what is left of it, by month and department."""
-    for name, spec in FACTS.items():
-        month = f"CAST(date_trunc('month', {spec.date}) AS DATE)"
-        sums = ", ".join(f"CAST(sum({m}) AS DECIMAL(28,2)) AS {m}" for m in spec.measures)
-        sql = f"SELECT {month} AS month, department_code, count(*) AS n, {sums} FROM {{s_{name}}} GROUP BY {month}, department_code"
-
-        def build(i: Inputs, name: str = name, spec=spec) -> DataFrame:
-            return (
-                i.tables[name]
-                .groupBy(F.trunc(spec.date, "MM").alias("month"), "department_code")
-                .agg(
-                    F.count(F.lit(1)).alias("n"),
-                    *[F.sum(m).cast("decimal(28,2)").alias(m) for m in spec.measures],
-                )
-            )
-
-        query(f"slv_fact_{name}", sql)(build)
+    """One query per conformed fact: its rows, with every column."""
+    for name in FACTS:
+        query(f"slv_fact_{name}", f"SELECT * FROM {{s_{name}}}")(lambda i, name=name: i.tables[name])
 
 
 _register_facts()

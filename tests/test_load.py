@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import to_float, to_int
+from ledgerloom.functions.dates import to_date_lenient
+from ledgerloom.functions.numbers import to_float, to_int, to_long
+from ledgerloom.functions.text import blank_to_null
 from ledgerloom.sources import load as steps
 from ledgerloom.sources import tables as sinks
 from ledgerloom.sources.contract import Contract, ContractError, Mapping
@@ -123,7 +125,7 @@ def test_replace_all_from_itself(spark, schema):
     c = Contract("d", None, (Mapping("k", "k", "int"),))
     table = sinks.ensure_table(spark, schema, c)
     sinks.replace_all(spark.range(5).select(F.col("id").cast("int").alias("k")), table)
-    sinks.replace_all(spark.table(table).filter("k > 2"), table, reads_target=True)
+    sinks.replace_all(spark.table(table).filter("k > 2"), table)
     assert sorted(r["k"] for r in spark.table(table).collect()) == [3, 4]
 
 
@@ -136,3 +138,82 @@ def test_layout_prunes(spark, schema):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan and "EqualTo(kind,4)" in plan
     assert found.count() == 1
+
+
+def test_a_failed_load_changes_nothing(spark, schema):
+    broken = F.raise_error(F.lit("broken cell"))
+    c = Contract("d", None, (Mapping("k", "k", "int"),))
+    table = sinks.ensure_table(spark, schema, c)
+    sinks.replace_all(spark.range(5).select(F.col("id").cast("int").alias("k")), table)
+    with pytest.raises(Exception, match="broken cell"):
+        sinks.replace_all(spark.range(5).select(F.when(F.col("id") > 3, broken).otherwise(1).cast("int").alias("k")), table)
+    assert spark.table(table).count() == 5
+    c = Contract("f", "d", (Mapping("d", "d", "timestamp"), Mapping("v", "v", "int")))
+    table = sinks.ensure_table(spark, schema, c, by_year=True)
+    rows = spark.range(4).select(F.lit(dt.date(2023, 5, 1)).alias("d"), F.col("id").cast("int").alias("v"))
+    sinks.replace_year(rows, table, 2023, "d")
+    with pytest.raises(Exception, match="broken cell"):
+        sinks.replace_year(rows.withColumn("v", F.when(F.col("v") > 2, broken).otherwise(1).cast("int")), table, 2023)
+    with pytest.raises(ContractError, match="4 rows are not of 2022"):
+        sinks.replace_year(rows, table, 2022, "d")
+    assert [(r["load_year"], r["n"]) for r in spark.table(table).groupBy("load_year").agg(F.count("v").alias("n")).collect()] == [(2023, 4)]
+
+
+def test_lenient_dates(spark):
+    texts = {
+        "2024-01-02T00:00:00Z": (2024, 1, 2),
+        "2024-01-02T10:00:00+07:00": (2024, 1, 2),
+        "5-Jan-2024": (2024, 1, 5),
+        "Jan 5, 2024": (2024, 1, 5),
+        " 1/2/2024": (2024, 1, 2),
+        "1/2/24": (2024, 1, 2),
+        "31-12-99": (1999, 12, 31),
+        "2024.01.05": (2024, 1, 5),
+        "30.12.2023": (2023, 12, 30),
+        "1/2/2024 10:00 AM": (2024, 1, 2),
+        "Feb 30, 2024": None,
+        "x 1/2/2024": None,
+        "": None,
+    }
+    got = column(spark, list(texts), to_date_lenient)
+    assert got == [dt.date(*v) if v else None for v in texts.values()]
+
+
+def test_long_numbers(spark):
+    texts = ["12.0", "1e3", "12.5", "9007199254740993", "x", " 7 ", "1e30"]
+    assert column(spark, texts, to_long) == [12, 1000, 13, 9007199254740993, None, 7, None]
+
+
+def test_non_breaking_blanks(spark):
+    assert column(spark, ["\u00a0", "\u3000 ", " a\u00a0", "\t"], blank_to_null) == [None, None, " a\u00a0", None]
+
+
+def test_files_are_read_by_their_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n2,1\n")
+    got = steps.read_text_table(spark, str(tmp_path)).select("a", "b").collect()
+    assert [tuple(r) for r in got] == [("1", "2")] * 2
+    (tmp_path / "3.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        steps.read_text_table(spark, str(tmp_path)).collect()
+    (tmp_path / "3.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(ContractError, match="differ"):
+        steps.read_text_table(spark, str(tmp_path))
+
+
+def test_declared_types(spark):
+    kinds = ["decimal(10,2)", "NUMERIC (18, 4)", "smallint", "real", "varchar(20)", "numeric", "bigint"]
+    c = Contract("t", None, tuple(Mapping(f"c{k}", f"c{k}", kind) for k, kind in enumerate(kinds)))
+    types = ["decimal(10,2)", "decimal(18,4)", "int", "double", "string", "decimal(38,10)", "bigint"]
+    assert [f.dataType.simpleString() for f in c.schema] == types
+
+
+def test_contracts_that_cannot_be_loaded(spark):
+    unmapped = Contract("t", "booked", (Mapping("v", "v", "int"),))
+    with pytest.raises(ContractError, match="not mapped"):
+        steps.load(spark.createDataFrame([("1",)], "v string"), unmapped, "fact", 2024)
+    bad = [(1, None, "x; DROP TABLE y", None), (7, "a", "b", "int")]
+    with pytest.raises(ContractError, match="not a table name"):
+        Contract.from_cells(spark.createDataFrame(bad, CELLS))
+    long = [(1, None, "t", None), *[(k, f"s{k}", f"c{k}", "int") for k in range(7, 12_000)]]
+    assert len(Contract.from_cells(spark.createDataFrame(long, CELLS)).mappings) == 11_993

@@ -18,15 +18,7 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize(
-    "limits",
-    [
-        {},  # broadcast
-        {"broadcast_rows": 5, "hot_key_rows": 100},  # shuffle, hot keys apart
-        {"broadcast_rows": 0, "hot_key_rows": 10},  # shuffle, hot slice too large to broadcast
-        {"broadcast_rows": 0},  # shuffle, no hot key
-    ],
-)
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0}])  # broadcast, shuffled
 def test_lookup_join(tables, how, limits):
     fact, dim = tables
     expected = fact.join(dim, fact.k == dim.d, how).collect()
@@ -34,18 +26,34 @@ def test_lookup_join(tables, how, limits):
     assert rows(got.columns, got.collect()) == rows(["row", "k", "d", "name"], expected)
 
 
-def test_hot_key_leaves_the_shuffle(tables):
+def test_the_shuffled_join_reads_its_input_once(spark, tables, tmp_path):
+    """Four lookups one after the other, by keys that are missing or hot."""
     fact, dim = tables
-    joined = lookup_join(fact, Lookup(dim, broadcast_rows=5, hot_key_rows=500), [(F.col("k"), F.col("d"))])
+    fact.write.parquet(str(tmp_path / "fact"))
+    joined = spark.read.parquet(str(tmp_path / "fact"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for k in range(4):
+        names = dim.select(F.col("d").alias(f"d{k}"), F.col("name").alias(f"name{k}")).filter("d%d <> 3" % k)
+        joined = lookup_join(joined, Lookup(names, broadcast_bytes=0), [(F.col("k"), F.col(f"d{k}"))])
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "LeftSemi" in plan
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("__salt") > 8 and "hashpartitioning(__key_0" in plan
+    assert plan.count("FileScan parquet") == 1
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "BroadcastHashJoin" not in plan
+    assert joined.count() == fact.count()
 
 
-def test_where_keeps_the_count_of_a_small_lookup(tables):
+def test_rows_without_a_key_spread(spark):
+    rows_ = spark.range(5000).select(F.col("id"), F.lit(None).cast("long").alias("k"))
+    joined = lookup_join(rows_, Lookup(spark.range(10).withColumnRenamed("id", "d"), broadcast_bytes=0), [(F.col("k"), F.col("d"))])
+    salted = rows_.select(F.pmod(F.xxhash64("id", "k"), F.lit(4096)))
+    assert joined.count() == 5000 and salted.distinct().count() > 2000
+
+
+def test_where_keeps_the_size_of_a_small_lookup(tables):
     _, dim = tables
     small = Lookup(dim)
-    assert small.rows == 31
-    assert small.where(F.col("d") < 3)._rows == 31
-    large = Lookup(dim, broadcast_rows=10)
+    assert 31 * 24 < small.bytes < 31 * 64
+    assert small.where(F.col("d") < 3)._bytes == small.bytes
+    large = Lookup(dim, broadcast_bytes=300)
     assert not large.is_small and large.where(F.col("d") < 3).is_small

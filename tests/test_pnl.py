@@ -174,8 +174,8 @@ def test_by_department_yearly_revenue(inputs):
 def test_large_dimensions_give_the_same_dataset(inputs, name):
     """Shuffled lookups with hot keys apart, subtotals from month sums."""
     star = Star(
-        Lookup(inputs.star.expense.df, broadcast_rows=20, hot_key_rows=20),
-        Lookup(inputs.star.department.df, broadcast_rows=2, hot_key_rows=200),
+        Lookup(inputs.star.expense.df, broadcast_bytes=20),
+        Lookup(inputs.star.department.df, broadcast_bytes=20),
     )
     assert not star.is_small
     small = e.plan_actual(SPECS[name], inputs.tables, inputs.star)
