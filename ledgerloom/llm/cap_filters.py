@@ -39,7 +39,7 @@ SEED = 20240917
 def codewords(size: int, code_size: int, seed: int = SEED) -> list[np.ndarray]:
     random, split = np.random.default_rng(seed), (size // 2, size - size // 2)
     words = [random.standard_normal((code_size, n)) for n in split]
-    return [w / np.linalg.norm(w, axis=1, keepdims=True) * math.sqrt(n / size) for w, n in zip(words, split, strict=True)]
+    return [w / np.linalg.norm(w, axis=1, keepdims=True) * math.sqrt(n / max(size, 1)) for w, n in zip(words, split, strict=True)]
 
 
 def list_decode(first: np.ndarray, second: np.ndarray, filters: int) -> np.ndarray:
