@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are the hashed n-grams (3 to 5 characters, lower case) that it holds, white
+A text's features are the hashed n-grams (4 to 7 characters, lower case) that it holds, white
 space runs as one space. The log-count ratio of a feature compares the share of toxic
 documents that hold it with that of clean ones; logistic regression is fitted on the ratios of
 the features present. Score: the regression's probability.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.stage import distinct, mapped, packed, texts_of, unpacked
 
 BITS = 20
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6, 7)
 
 
 def ngrams(texts: pa.StringArray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +77,7 @@ class Model:
 
 
 def fit_logistic(indptr: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, weight: np.ndarray,
-                 penalty: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, float]:
+                 penalty: float = 1e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weighted logistic regression with a ridge penalty, by accelerated gradient steps."""
     rows = np.repeat(np.arange(len(y)), np.diff(indptr))
     values, weight = scale[columns], weight / weight.sum()
@@ -101,7 +101,7 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, features: int = 4096, least_documents: int = 10) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, features: int = 2048, least_documents: int = 10) -> Model:
     """Fit on the labels (doc_id, toxic) of documents that aren't held out."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
