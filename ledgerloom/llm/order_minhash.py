@@ -6,11 +6,13 @@ own hash and keeps them in text order; two documents agree in a table if they sh
 k-mers in the same order, which rearranged texts don't. Documents that agree in a table are
 candidates; a banded alignment of their words verifies an edit similarity of 0.8 or more.
 
-Exact copies (equal words) are one class before all that. In each bucket, documents are
-compared with its smallest; those that are not linked yet are compared again, with each other
-in buckets of at most ``small`` such documents and with the smallest of them in larger ones,
-until a round finds no new link. Candidates grow with the members of buckets, not with their
-pairs, and only the words of candidates are shuffled.
+Exact copies (equal words) are one class. Buckets of at most ``SMALL`` documents give all
+their pairs; in larger ones every document is compared with the first and with the one before
+it. Large buckets are mostly groups of near copies, which the first one links, or texts that
+share a passage: near copies among these agree in other tables too, outside the passage. A
+batch of rows keeps one document of a large bucket for the comparison with other batches, so
+candidates and shuffled rows grow with documents, not with pairs, and no bucket is gathered.
+Only the words of candidates are shuffled.
 
 Defined results: words are lower case and end at ASCII white space; null, empty and blank
 texts have no words and are copies of each other; texts of fewer than five words have one
@@ -22,6 +24,7 @@ empty table gives no rows; other columns are kept by ``keep_one`` and not read b
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ from ledgerloom.llm.words import SHINGLE, mix, shingle_hashes, word_hashes
 
 TABLES = 24
 LENGTH = 2  # k-mers a table keeps
+SMALL = 12
+ROWS = "link boolean, key long, doc long, other long"
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -80,35 +85,109 @@ def sketch_keys(kmers: np.ndarray, bounds: np.ndarray, tables: int) -> np.ndarra
     return keys
 
 
-def classes_of_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, rep: the smallest doc_id with the same words."""
+def sketches(docs: DataFrame, tables: int) -> DataFrame:
+    """doc_id, same (a digest of all words), keys (of each table; none without words)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, bounds = word_hashes(texts_of(batch.column(1)))
-        same = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary())], ["doc_id", "same"])
+        each = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        same = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in each]
+        kmers = [labelled_kmers(w) for w in each if len(w)]
+        keys = np.zeros(0, np.int64)
+        if kmers:
+            at = np.concatenate([[0], np.cumsum([len(k) for k in kmers])])
+            keys = sketch_keys(np.concatenate(kmers), at, tables).ravel().view(np.int64)
+        offsets = np.concatenate([[0], np.cumsum([tables * (len(w) > 0) for w in each])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), lists], ["doc_id", "same", "keys"])
 
     rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    rows = scratch.save(mapped(rows, run, "doc_id long, same binary"), "copies")
-    reps = rows.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    return scratch.save(rows.join(reps, "same").groupBy("doc_id").agg(F.min("rep").alias("rep")), "reps")
-
-
-def buckets(docs: DataFrame, tables: int) -> DataFrame:
-    """key, doc of every table of every document with words."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, bounds = word_hashes(texts_of(batch.column(1)))
-        some = np.flatnonzero(np.diff(bounds) > 0)
-        kmers = [labelled_kmers(words[bounds[k] : bounds[k + 1]]) for k in some]
-        if not kmers:
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64())], ["key", "doc"])
-        at = np.concatenate([[0], np.cumsum([len(k) for k in kmers])])
-        keys = sketch_keys(np.concatenate(kmers), at, tables)
-        doc = np.repeat(batch.column(0).to_numpy()[some], tables)
-        return pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(doc)], ["key", "doc"])
-
-    return mapped(docs.select("doc_id", "text"), run, "key long, doc long").distinct()
+    return mapped(rows, run, "doc_id long, same binary, keys array<long>")
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted keys: the row where each row's group starts, and the group's size."""
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    starts = np.flatnonzero(first)
+    sizes = np.diff(np.append(starts, len(key)))
+    return np.repeat(starts, sizes), np.repeat(sizes, sizes)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Link rows (larger, smaller doc), each once, without loops."""
+    pairs = np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b]
+    order = np.lexsort(pairs)
+    pairs = pairs[:, order]
+    new = np.ones(pairs.shape[1], bool)
+    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+    doc, other = pairs[:, new]
+    key = mix(doc.view(np.uint64) * np.uint64(3) + other.view(np.uint64)).view(np.int64)
+    return _rows(np.ones(len(doc), bool), key, doc, other)
+
+
+def _rows(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["link", "key", "doc", "other"])
+
+
+def keep_of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The (key, doc) rows of a batch; of a large bucket only the first, with links to it."""
+    for batch in batches:
+        keys = batch.column(2)
+        n = np.diff(keys.offsets.to_numpy())
+        key, doc = keys.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), n)
+        same = np.repeat(batch.column(1).dictionary_encode().indices.to_numpy(), n)
+        order = np.lexsort((doc, same, key))
+        key, doc, same = key[order], doc[order], same[order]
+        copy = np.zeros(len(key), bool)  # the first copy stands for the others
+        copy[1:] = (key[1:] == key[:-1]) & (same[1:] == same[:-1])
+        key, doc = key[~copy], doc[~copy]
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        start, size = _groups(key)
+        large, at = size > SMALL, np.arange(len(key))
+        yield _pairs(*_star_and_chain(doc, start, large))
+        kept = ~large | (start == at)
+        yield _rows(np.zeros(int(kept.sum()), bool), key[kept], doc[kept], doc[kept])
+
+
+def _star_and_chain(doc: np.ndarray, start: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.flatnonzero(large & (start != np.arange(len(doc))))
+    return np.concatenate([doc[at], doc[at]]), np.concatenate([doc[start[at]], doc[at - 1]])
+
+
+def pair_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the buckets from rows sorted by key and doc; what is a link already passes.
+    The last bucket of a batch waits for the next one."""
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for batch in batches:
+        link = batch.column(0).to_numpy(zero_copy_only=False)
+        if link.any():
+            yield batch.filter(batch.column(0))
+        key, doc = (np.concatenate([h, batch.column(k).to_numpy()[~link]]) for h, k in zip(held, (1, 2), strict=True))
+        whole = np.searchsorted(key, key[-1]) if len(key) else 0
+        held = (key[whole:], doc[whole:])
+        yield _bucket_pairs(key[:whole], doc[:whole])
+    yield _bucket_pairs(*held)
+
+
+def _bucket_pairs(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    start, size = _groups(key)
+    a, b = _star_and_chain(doc, start, size > SMALL)
+    a, b = [a], [b]
+    for d in range(1, SMALL):
+        at = np.flatnonzero((size <= SMALL) & (size > d))
+        at = at[at - start[at] >= d]
+        a.append(doc[at])
+        b.append(doc[at - d])
+    return _pairs(np.concatenate(a), np.concatenate(b))
+
+
+def candidates(sketched: DataFrame) -> DataFrame:
+    """a, b: pairs of documents (a > b) that agree in a table."""
+    rows = sketched.select("doc_id", "same", "keys").mapInArrow(keep_of_buckets, ROWS)
+    rows = rows.repartition("key").sortWithinPartitions("link", "key", "doc").mapInArrow(pair_buckets, ROWS)
+    return rows.select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def words_of(docs: DataFrame) -> DataFrame:
@@ -116,7 +195,7 @@ def words_of(docs: DataFrame) -> DataFrame:
         words, bounds = word_hashes(texts_of(batch.column(1)))
         return pa.RecordBatch.from_arrays([batch.column(0), slices((words >> np.uint64(32)).astype("<u4"), bounds).cast(pa.binary())], ["doc", "words"])
 
-    return mapped(docs.select("doc_id", "text"), run, "doc long, words binary")
+    return mapped(docs.select("doc", "text"), run, "doc long, words binary")
 
 
 def verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -142,65 +221,29 @@ def _alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     return common >= least * longer - 1e-9 and similar(x, y, least) is not None
 
 
-def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables: int = TABLES, small: int = 12) -> DataFrame:
+def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables: int = TABLES) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), kept: one row a doc_id that isn't
     null, and one for each row with a null doc_id."""
-    copies = classes_of_copies(docs, scratch)
-    keyed = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = keyed.dropDuplicates(["doc_id"]) if _repeated(copies, docs) else keyed
-    reps = copies.filter("doc_id = rep").select("doc_id")
-    firsts = keyed.join(reps, "doc_id", "left_semi")
-    member = scratch.save(buckets(firsts, tables), "buckets")
-    shared = member.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high")
-    member = scratch.save(member.join(shared.select("key"), "key"), "shared")
-    involved = member.select(F.col("doc").alias("doc_id")).distinct()
-    words = scratch.save(words_of(firsts.join(involved, "doc_id", "left_semi")), "words")
-    links, tested, found, k = None, None, None, 0
-    while True:
-        k += 1
-        pairs = _candidates(member, found, small, first=k == 1)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, f"pairs-{k}")
-        fresh = scratch.save(verified(pairs, words, least), f"links-{k}")
-        links = fresh if links is None else links.unionByName(fresh)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if k > 1 and fresh.isEmpty():
-            break
-        found = scratch.save(components(links, scratch, f"stars-{k}"), f"components-{k}")
-    classes = copies.join(found, F.col("rep") == F.col("node"), "left")
+    sketched = scratch.save(sketches(docs, tables), "sketches")
+    by_words = sketched.groupBy("same").agg(F.min("doc_id").alias("rep"))
+    reps = sketched.select("doc_id", "same").join(by_words, "same").groupBy("doc_id").agg(F.min("rep").alias("rep"))
+    reps = scratch.save(reps, "reps")
+    pairs = scratch.save(candidates(sketched), "candidates")
+    for end in ("a", "b"):  # copies stand for each other
+        pairs = pairs.join(reps.select(F.col("doc_id").alias(end), F.col("rep").alias(f"{end}_rep")), end)
+    pairs = pairs.select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b"))
+    pairs = scratch.save(pairs.filter("a <> b").distinct(), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    words = scratch.save(words_of(texts.join(involved, "doc", "left_semi")).dropDuplicates(["doc"]), "words")
+    links = scratch.save(verified(pairs, words, least), "links")
+    found = scratch.save(components(links, scratch), "components")
+    classes = reps.join(found, F.col("rep") == F.col("node"), "left")
     placed = classes.select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     apart = docs.filter(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
     return placed.unionByName(apart).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
-def _repeated(copies: DataFrame, docs: DataFrame) -> bool:
-    return copies.count() != docs.filter(F.col("doc_id").isNotNull()).count()
-
-
-def _candidates(member: DataFrame, found: DataFrame | None, small: int, first: bool) -> DataFrame:
-    """Pairs (a > b) of a bucket to verify: with its smallest document, later among those of
-    other components than the smallest one's."""
-    if first:
-        low = member.groupBy("key").agg(F.min("doc").alias("b"))
-        return member.join(low, "key").filter("doc > b").select(F.col("doc").alias("a"), "b").distinct()
-    placed = member.join(found, F.col("doc") == F.col("node"), "left")
-    placed = placed.select("key", "doc", F.coalesce("component", "doc").alias("component"))
-    low = placed.groupBy("key").agg(F.min(F.struct("doc", "component")).alias("low"))
-    apart = placed.join(low, "key").filter("component <> low.component")
-    rest = apart.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "component")).alias("next"))
-    apart = apart.join(rest, "key").select("key", "doc", "component", "n", F.col("next.doc").alias("next"), F.col("next.component").alias("other"))
-    stars = apart.filter("component <> other").select(F.col("doc").alias("a"), F.col("next").alias("b"))
-    few = apart.filter(F.col("n") <= small).select("key", "doc", "component")
-    right = few.select("key", F.col("doc").alias("b"), F.col("component").alias("other"))
-    each = few.join(right, "key").filter("doc > b and component <> other").select(F.col("doc").alias("a"), "b")
-    # members linked to the smallest may still be near to those that are not
-    members = placed.join(low, "key").filter("component = low.component").select("key", F.col("doc").alias("linked"))
-    n = members.groupBy("key").agg(F.count(F.lit(1)).alias("n_linked")).filter(F.col("n_linked") <= small)
-    cross = few.join(members.join(n, "key"), "key").select(F.greatest("doc", "linked").alias("a"), F.least("doc", "linked").alias("b"))
-    return stars.unionByName(each).unionByName(cross).distinct()
-
-
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose class keeps them; rows of a null doc_id stay."""
     dropped = classes.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
