@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType, DoubleType
 from ledgerloom.operators import allocation as a
 from querybook import sqlsteps  # noqa: F401
 from querybook.fixtures import ALLOCATION_CODES, Inputs
-from querybook.registry import cte, query
+from querybook.registry import ORACLES, cte, query
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -212,12 +212,18 @@ def effort(i: Inputs) -> DataFrame:
 
 @query(
     "alc_effort_overhead",
-    f"SELECT date, department_code, {r4('effort, expense_value, man_month_value')} FROM {{a_twice_comtor}}",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS service, date, department_code, {r4('effort, expense_value, man_month_value')} FROM {{a_twice_{n}}}"
+        for n in ("comtor", "qa")
+    ),
 )
 def effort_overhead(i: Inputs) -> DataFrame:
-    service = ALLOCATION_CODES.comtor
-    rows = i.step_down.effort(service)
-    return rounded(a.with_overhead_rows(rows, service.is_pool(F.col("department_code"))))
+    def doubled(name: str) -> DataFrame:
+        service = getattr(ALLOCATION_CODES, name)
+        rows = a.with_overhead_rows(i.step_down.effort(service), service.is_pool(F.col("department_code")))
+        return rounded(rows).withColumn("service", F.lit(name))
+
+    return doubled("comtor").unionByName(doubled("qa"))
 
 
 @query(
@@ -242,3 +248,15 @@ def overhead(i: Inputs) -> DataFrame:
 @query("alc_ordered", f"{_SUPPORT} ORDER BY date NULLS LAST, unit_id NULLS LAST, department_code NULLS LAST")
 def ordered(i: Inputs) -> DataFrame:
     return a.ordered(rounded(i.step_down.support()), *i.step_down.ORDER["support"])
+
+
+def _register_ordered() -> None:
+    for name in ("bo", "comtor", "qa", "overhead"):
+
+        def build(i: Inputs, name: str = name) -> DataFrame:
+            return a.ordered(rounded(getattr(i.step_down, name)()), *i.step_down.ORDER[name])
+
+        query(f"alc_ordered_{name}", ORACLES[f"alc_{name}"])(build)
+
+
+_register_ordered()

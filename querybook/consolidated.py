@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,10 +117,13 @@ def detail_rows(i: Inputs) -> DataFrame:
 
 @query(
     "con_report_details",
-    f"SELECT 'apac' AS entity, {_KEPT}, {_SIX} FROM {{erc_apac}} WHERE value_type IN ('e', 'r')",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS entity, {_KEPT}, {_SIX} FROM {{erc_{n}}} WHERE value_type IN ('e', 'r')" for n in ENTITIES
+    ),
 )
 def report_details(i: Inputs) -> DataFrame:
-    return millions(c.report_details(plan_actual(SPECS["apac"], i.tables, i.star), "apac"))
+    parts = [millions(c.report_details(plan_actual(SPECS[n], i.tables, i.star), n)) for n in ENTITIES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
