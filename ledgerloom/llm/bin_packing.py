@@ -26,7 +26,7 @@ from ledgerloom.llm.chunks import bpe_ids, with_end
 from ledgerloom.llm.stage import mapped, slices, texts_of
 
 SALTS = 256  # sub-groups in which the pieces of one length are numbered
-PIECES = "doc_id long, piece int, start long, length long, ids binary"
+PIECES = "doc_id long, piece int, start long, length long, "
 
 
 def fullest(supply: dict[int, int], capacity: int) -> dict[int, int]:
@@ -85,8 +85,10 @@ def places(bins: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int, int,
     return rows
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096) -> DataFrame:
-    """Pieces of at most ``capacity`` ids of each document, the end id included."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, crc: bool = False) -> DataFrame:
+    """Pieces of at most ``capacity`` ids of each document, the end id included; with ``crc``
+    the unsigned checksum ``ids_crc32`` of a piece's ids in place of the ids."""
+    content = "ids_crc32" if crc else "ids"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, bounds = with_end(*bpe_ids(tokenizer_path, texts_of(batch.column(1))), end_id)
@@ -102,23 +104,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
             pa.array(piece.astype(np.int32)),
             pa.array(start),
             pa.array(length),
-            slices(ids, at).cast(pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
-
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, PIECES)
-
-
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` in place of their ids."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        crc = pa.array([zlib.crc32(x) for x in batch.column(4).to_pylist()], pa.int64())
-        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        return pa.RecordBatch.from_arrays([*batch.columns[:4], crc], names)
-
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return mapped(pieces.select("doc_id", "piece", "start", "length", "ids"), run, schema)
+        if crc:
+            data = ids.astype("<u4").tobytes()
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            columns.append(pa.array(sums, pa.int64()))
+        else:
+            columns.append(slices(ids, at).cast(pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", content])
+
+    schema = PIECES + ("ids_crc32 long" if crc else "ids binary")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
 def assign(pieces: DataFrame, capacity: int = 4096, salts: int = SALTS) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from ledgerloom.llm.stage import utf8
 
-TABLE_ENTRIES = 1 << 18
+TABLE_ENTRIES = 1 << 17
 LONG_CHUNK = 4096  # bytes; longer chunks are encoded but not kept
 
 _SPACE = np.zeros(256, bool)

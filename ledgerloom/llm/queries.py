@@ -73,7 +73,7 @@ def near_document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bin_packing")
 def bin_packing_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = bin_packing.with_crc(bin_packing.token_pieces(table(spark, sf_dir, "documents"), path, 1))
+    pieces = bin_packing.token_pieces(table(spark, sf_dir, "documents"), path, 1, crc=True)
     return bin_packing.assign(Scratch(spark, "bin-packing").save(pieces, "pieces"))
 
 

@@ -71,7 +71,7 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-PORTION = 2 << 20
+PORTION = 1 << 20
 
 
 def portions(batches: Iterable[pa.RecordBatch], limit: int = PORTION) -> Iterator[pa.RecordBatch]:
