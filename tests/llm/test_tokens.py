@@ -189,7 +189,7 @@ def test_bin_packing(spark, scratch, awkward, nothing):
     check_packing(rows, awkward_texts(), 64)
     longest = max(len(r["ids"]) // 4 for r in bin_packing.sequences(placed).collect())
     assert longest <= 64
-    pieces = scratch().save(bin_packing.with_crc(bin_packing.token_pieces(nothing, WORD, 1)), "pieces")
+    pieces = scratch().save(bin_packing.token_pieces(nothing, WORD, 1, crc=True), "pieces")
     assert bin_packing.assign(pieces).count() == 0
     with pytest.raises(ValueError, match="clash"):
         bin_packing.assign(pieces.withColumnRenamed("start", "_rank"))
