@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +24,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders of intermediate results that are made inside when the scope ends.
+
+    Frames made inside read these folders, so write what shall last before leaving.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _scopes.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def fresh_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return folder
 
 
 def materialised(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Contracts, coercion and table sinks."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from ledgerloom.functions.text import blank_to_null
 from ledgerloom.sources import load as steps
 from ledgerloom.sources import tables as sinks
 from ledgerloom.sources.contract import Contract, ContractError, Mapping
-from ledgerloom.sources.workspace import fresh_folder
+from ledgerloom.sources.workspace import fresh_folder, intermediates, materialised
 
 CELLS = "row int, a string, b string, c string"
 
@@ -217,3 +218,11 @@ def test_contracts_that_cannot_be_loaded(spark):
         Contract.from_cells(spark.createDataFrame(bad, CELLS))
     long = [(1, None, "t", None), *[(k, f"s{k}", f"c{k}", "int") for k in range(7, 12_000)]]
     assert len(Contract.from_cells(spark.createDataFrame(long, CELLS)).mappings) == 11_993
+
+
+def test_intermediates_go_with_their_scope(spark):
+    with intermediates(spark):
+        kept = materialised(spark.range(5))
+        folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+        assert kept.count() == 5 and folder.exists()
+    assert not folder.exists()
