@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.alignment import similar
 from ledgerloom.llm.components import components
 from ledgerloom.llm.stage import Scratch, mapped, slices, texts_of
-from ledgerloom.llm.words import SHINGLE, mix, shingle_hashes, word_hashes
+from ledgerloom.llm.words import mix, shingle_hashes, word_hashes
 
 TABLES = 24
 LENGTH = 2  # k-mers a table keeps
