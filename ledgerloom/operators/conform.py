@@ -8,7 +8,6 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from ledgerloom.functions.numbers import zero_default
 from ledgerloom.functions.text import MISSING_KEY, default_text, norm_key, norm_text

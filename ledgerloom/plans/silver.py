@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DecimalType
 
 from ledgerloom.operators.conform import DimSpec, FactSpec, Text, conform_dim, conform_fact
 
