@@ -235,7 +235,9 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables
     pairs = scratch.save(pairs.filter("a <> b").distinct(), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    words = scratch.save(words_of(texts.join(involved, "doc", "left_semi")).dropDuplicates(["doc"]), "words")
+    # the ids grow with the corpus: merged at every size, never broadcast
+    texts = texts.join(involved.hint("merge"), "doc", "left_semi")
+    words = scratch.save(words_of(texts).dropDuplicates(["doc"]), "words")
     links = scratch.save(verified(pairs, words, least), "links")
     found = scratch.save(components(links, scratch), "components")
     classes = reps.join(found, F.col("rep") == F.col("node"), "left")
