@@ -7,12 +7,10 @@ k-mers in the same order, which rearranged texts don't. Documents that agree in
 candidates; a banded alignment of their words verifies an edit similarity of 0.8 or more.
 
 Exact copies (equal words) are one class. Buckets of at most ``SMALL`` documents give all
-their pairs; in larger ones every document is compared with the first and with the one before
-it. Large buckets are mostly groups of near copies, which the first one links, or texts that
-share a passage: near copies among these agree in other tables too, outside the passage. A
-batch of rows keeps one document of a large bucket for the comparison with other batches, so
-candidates and shuffled rows grow with documents, not with pairs, and no bucket is gathered.
-Only the words of candidates are shuffled.
+their pairs; in larger ones every document is compared with the first. Then all pairs of a
+large bucket that are still in different components are compared, in pairs of blocks of
+``BLOCK`` documents, so no bucket is gathered. A bucket's size is that of the whole bucket.
+Only the words of candidates are shuffled, and of large buckets that hold two components.
 
 Defined results: words are lower case and end at ASCII white space; null, empty and blank
 texts have no words and are copies of each other; texts of fewer than five words have one
@@ -34,12 +32,14 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.alignment import similar
 from ledgerloom.llm.components import components
 from ledgerloom.llm.stage import Scratch, mapped, slices, texts_of
+from ledgerloom.llm.vectors import units
 from ledgerloom.llm.words import mix, shingle_hashes, word_hashes
 
 TABLES = 24
 LENGTH = 2  # k-mers a table keeps
 SMALL = 12
-ROWS = "link boolean, key long, doc long, other long"
+BLOCK = 512  # documents of a large bucket that are compared with as many others in one unit
+BINS = 256
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -115,56 +115,21 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Link rows (larger, smaller doc), each once, without loops."""
+    """Rows (larger, smaller doc), each once, without loops."""
     pairs = np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b]
     order = np.lexsort(pairs)
     pairs = pairs[:, order]
     new = np.ones(pairs.shape[1], bool)
     new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
-    doc, other = pairs[:, new]
-    key = mix(doc.view(np.uint64) * np.uint64(3) + other.view(np.uint64)).view(np.int64)
-    return _rows(np.ones(len(doc), bool), key, doc, other)
-
-
-def _rows(*columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["link", "key", "doc", "other"])
-
-
-def keep_of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The (key, doc) rows of a batch; of a large bucket only the first, with links to it."""
-    for batch in batches:
-        keys = batch.column(2)
-        n = np.diff(keys.offsets.to_numpy())
-        key, doc = keys.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), n)
-        same = np.repeat(batch.column(1).dictionary_encode().indices.to_numpy(), n)
-        order = np.lexsort((doc, same, key))
-        key, doc, same = key[order], doc[order], same[order]
-        copy = np.zeros(len(key), bool)  # the first copy stands for the others
-        copy[1:] = (key[1:] == key[:-1]) & (same[1:] == same[:-1])
-        key, doc = key[~copy], doc[~copy]
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        start, size = _groups(key)
-        large, at = size > SMALL, np.arange(len(key))
-        yield _pairs(*_star_and_chain(doc, start, large))
-        kept = ~large | (start == at)
-        yield _rows(np.zeros(int(kept.sum()), bool), key[kept], doc[kept], doc[kept])
-
-
-def _star_and_chain(doc: np.ndarray, start: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.flatnonzero(large & (start != np.arange(len(doc))))
-    return np.concatenate([doc[at], doc[at]]), np.concatenate([doc[start[at]], doc[at - 1]])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs[:, new]], ["a", "b"])
 
 
 def pair_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the buckets from rows sorted by key and doc; what is a link already passes.
-    The last bucket of a batch waits for the next one."""
+    """All pairs of each bucket from (key, doc) rows sorted by key and doc. The last bucket of
+    a batch waits for the next one; buckets are small."""
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     for batch in batches:
-        link = batch.column(0).to_numpy(zero_copy_only=False)
-        if link.any():
-            yield batch.filter(batch.column(0))
-        key, doc = (np.concatenate([h, batch.column(k).to_numpy()[~link]]) for h, k in zip(held, (1, 2), strict=True))
+        key, doc = (np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held))
         whole = np.searchsorted(key, key[-1]) if len(key) else 0
         held = (key[whole:], doc[whole:])
         yield _bucket_pairs(key[:whole], doc[:whole])
@@ -173,21 +138,97 @@ def pair_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bucket_pairs(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     start, size = _groups(key)
-    a, b = _star_and_chain(doc, start, size > SMALL)
-    a, b = [a], [b]
-    for d in range(1, SMALL):
-        at = np.flatnonzero((size <= SMALL) & (size > d))
-        at = at[at - start[at] >= d]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, int(size.max(initial=1))):
+        at = np.flatnonzero(np.arange(len(key)) - start >= d)
         a.append(doc[at])
         b.append(doc[at - d])
     return _pairs(np.concatenate(a), np.concatenate(b))
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """a, b: pairs of documents (a > b) that agree in a table."""
-    rows = sketched.select("doc_id", "same", "keys").mapInArrow(keep_of_buckets, ROWS)
-    rows = rows.repartition("key").sortWithinPartitions("link", "key", "doc").mapInArrow(pair_buckets, ROWS)
-    return rows.select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct()
+def buckets(texts: DataFrame) -> DataFrame:
+    """key, doc, n, first: the documents of each bucket of more than one, the size and the
+    smallest doc_id of the whole bucket. Counted before the shuffle; a hot key splits in the join."""
+    rows = texts.select(F.explode("keys").alias("key"), F.col("rep").alias("doc"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
+    return rows.join(sizes.filter("n > 1").hint("merge"), "key").select("key", "doc", "n", "first")
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """a, b: pairs of documents (a > b) that agree in a table: all of small buckets, and those
+    with the first of large ones."""
+    small = members.filter(F.col("n") <= SMALL).select("key", "doc").repartition("key").sortWithinPartitions("key", "doc")
+    pairs = small.mapInArrow(pair_buckets, "a long, b long")
+    first = members.filter((F.col("n") > SMALL) & (F.col("doc") > F.col("first")))
+    return pairs.unionByName(first.select(F.col("doc").alias("a"), F.col("first").alias("b"))).distinct()
+
+
+def across_components(members: DataFrame, found: DataFrame, docs: DataFrame, scratch: Scratch, least: float) -> DataFrame | None:
+    """Links (a, b) between documents of large buckets that ``found`` (node, component) has in
+    different components: every such pair is compared, or linked through others. None if no
+    bucket holds two components."""
+    large = members.filter(F.col("n") > SMALL).select("key", "doc")
+    large = large.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+    large = scratch.save(large, "large")
+    sizes = large.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    sizes = sizes.filter("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    mixed = scratch.save(large.join(sizes.hint("merge"), "key"), "mixed")
+    if mixed.isEmpty():
+        return None
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    texts = texts.join(mixed.select("doc").distinct().hint("merge"), "doc", "left_semi")
+    words = scratch.save(words_of(texts).dropDuplicates(["doc"]), "large-words")
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")),
+    )
+    spread = mixed.withColumn("part", part).withColumn("pair", F.explode(pairs)).join(words.hint("merge"), "doc")
+    spread = spread.select("key", "pair.i", "pair.j", F.col("part").alias("side"), "doc", "component", "words")
+    keys = ("key", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in units(batches, 3):
+            cross = unit["i"][0].as_py() != unit["j"][0].as_py()
+            words = [np.frombuffer(w, "<u4") for w in unit["words"].to_pylist()]
+            side = unit["side"].to_numpy() if cross else None
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in linked(words, *(unit[c].to_numpy() for c in ("doc", "component")), side, least)], ["a", "b"])
+
+    links = spread.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return scratch.save(links.distinct(), "large-links")
+
+
+def linked(words: list[np.ndarray], doc: np.ndarray, component: np.ndarray, side: np.ndarray | None, least: float) -> tuple[list[int], list[int]]:
+    """Links (larger, smaller doc) that join components: the likeliest pairs first, pairs of one
+    component not at all. Counts of words by hash bound the edits from below."""
+    size = np.array([len(w) for w in words])
+    counts = np.array([np.bincount(w % BINS, minlength=BINS) for w in words], np.int32).reshape(-1, BINS)
+    todo = []
+    for i in range(len(words)):
+        longer = np.maximum(size[i], size)
+        ok = (component != component[i]) & (np.minimum(size[i], size) >= least * longer - 1e-9)
+        ok &= (np.arange(len(words)) > i) if side is None else (side > side[i])
+        at = np.flatnonzero(ok)
+        share = np.minimum(counts[at], counts[i]).sum(axis=1) / np.maximum(longer[at], 1)
+        good = share >= least - 1e-9
+        todo.append(np.stack([-share[good], np.full(good.sum(), i), at[good]]))
+    todo = np.concatenate(todo, axis=1) if todo else np.zeros((3, 0))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    a, b = [], []
+    for i, j in todo[1:, np.argsort(todo[0], kind="stable")].astype(int).T.tolist():
+        x, y = find(int(component[i])), find(int(component[j]))
+        if x != y and _alike(words[i], words[j], least):
+            root[max(x, y)] = min(x, y)
+            a.append(max(int(doc[i]), int(doc[j])))
+            b.append(min(int(doc[i]), int(doc[j])))
+    return a, b
 
 
 def words_of(docs: DataFrame) -> DataFrame:
@@ -228,11 +269,8 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables
     by_words = sketched.groupBy("same").agg(F.min("doc_id").alias("rep"))
     reps = sketched.select("doc_id", "same").join(by_words, "same").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     reps = scratch.save(reps, "reps")
-    pairs = scratch.save(candidates(sketched), "candidates")
-    for end in ("a", "b"):  # copies stand for each other
-        pairs = pairs.join(reps.select(F.col("doc_id").alias(end), F.col("rep").alias(f"{end}_rep")), end)
-    pairs = pairs.select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b"))
-    pairs = scratch.save(pairs.filter("a <> b").distinct(), "pairs")
+    members = scratch.save(buckets(sketched.select(F.col("doc_id").alias("rep"), "keys")), "members")
+    pairs = scratch.save(candidates(members), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     # the ids grow with the corpus: merged at every size, never broadcast
@@ -240,6 +278,9 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables
     words = scratch.save(words_of(texts).dropDuplicates(["doc"]), "words")
     links = scratch.save(verified(pairs, words, least), "links")
     found = scratch.save(components(links, scratch), "components")
+    more = across_components(members, found, docs, scratch, least)
+    if more is not None:
+        found = scratch.save(components(links.unionByName(more), scratch, "all-stars"), "all-components")
     classes = reps.join(found, F.col("rep") == F.col("node"), "left")
     placed = classes.select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     apart = docs.filter(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
