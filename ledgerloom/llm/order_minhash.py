@@ -9,7 +9,8 @@ candidates; a banded alignment of their words verifies an edit similarity of 0.8
 Exact copies (equal words) are one class. Buckets of at most ``SMALL`` documents give all
 their pairs; in larger ones every document is compared with the first. Then all pairs of a
 large bucket that are still in different components are compared, in pairs of blocks of
-``BLOCK`` documents, so no bucket is gathered. A bucket's size is that of the whole bucket.
+``BLOCK`` documents, so no bucket is gathered. A bucket's
+size is that of the whole bucket, of distinct texts.
 Only the words of candidates are shuffled, and of large buckets that hold two components.
 
 Defined results: words are lower case and end at ASCII white space; null, empty and blank
@@ -146,6 +147,11 @@ def _bucket_pairs(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     return _pairs(np.concatenate(a), np.concatenate(b))
 
 
+def distinct_texts(sketched: DataFrame) -> DataFrame:
+    """same, rep (the smallest doc_id that has the words), keys: one row a text."""
+    return sketched.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+
+
 def buckets(texts: DataFrame) -> DataFrame:
     """key, doc, n, first: the documents of each bucket of more than one, the size and the
     smallest doc_id of the whole bucket. Counted before the shuffle; a hot key splits in the join."""
@@ -266,10 +272,10 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables
     """doc_id, class_id (the smallest doc_id of the class), kept: one row a doc_id that isn't
     null, and one for each row with a null doc_id."""
     sketched = scratch.save(sketches(docs, tables), "sketches")
-    by_words = sketched.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    reps = sketched.select("doc_id", "same").join(by_words, "same").groupBy("doc_id").agg(F.min("rep").alias("rep"))
+    by_words = scratch.save(distinct_texts(sketched), "texts")
+    reps = sketched.select("doc_id", "same").join(by_words.select("same", "rep"), "same").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     reps = scratch.save(reps, "reps")
-    members = scratch.save(buckets(sketched.select(F.col("doc_id").alias("rep"), "keys")), "members")
+    members = scratch.save(buckets(by_words), "members")
     pairs = scratch.save(candidates(members), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")

@@ -45,3 +45,16 @@ def test_copies_that_only_the_base_links(spark, scratch):
     expected = brute_classes(rows)
     assert len(set(expected.values())) <= 3
     assert classes(spark, scratch, rows, 4) == expected
+
+
+def test_copies_dont_make_a_bucket_large(spark, scratch):
+    text = prose(72, 200)
+    u, w = in_bucket(text, 0.27, 2)
+    v = in_bucket(u, 0.05, 1)[0]
+    rows = [*((k, text) for k in range(40)), (100, u), (101, w), (102, v)]
+    expected = brute_classes(rows)
+    assert expected[102] == 100 and expected[101] == 101
+    assert classes(spark, scratch, rows, 40) == expected
+    sketched = order_minhash.sketches(spark.createDataFrame(rows, "doc_id long, text string"), 1)
+    members = order_minhash.buckets(order_minhash.distinct_texts(sketched)).collect()
+    assert {(r["doc"], r["n"]) for r in members} == {(0, 4), (100, 4), (101, 4), (102, 4)}
