@@ -62,6 +62,24 @@ def orphan_departments(i: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "dq_orphans_partial",
+    """SELECT 'peer_fact' AS dataset, 'department_code' AS key_column, department_code AS key, count(*) AS n FROM {s_peer_fact} f
+        WHERE NOT EXISTS (SELECT 1 FROM {s_dim_department} d WHERE d.unit_id <= 9 AND d.department_code = f.department_code)
+        GROUP BY department_code""",
+)
+def orphans_of_some_departments(i: Inputs) -> DataFrame:
+    """The same against a dimension that lacks departments, so every scale holds orphans."""
+    some = i.tables["dim_department"].filter("unit_id <= 9")
+    found = orphans(i.tables["peer_fact"], "department_code", some)
+    return found.select(
+        F.lit("peer_fact").alias("dataset"),
+        F.lit("department_code").alias("key_column"),
+        F.col("department_code").alias("key"),
+        "n",
+    )
+
+
 _REPORTS = tuple(SPECS)
 _ALLOCATIONS = ("support", "bo", "comtor", "qa", "overhead")
 
