@@ -52,11 +52,16 @@ def cut_words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
 
 
 def cut_spaces(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
-    """Chunks for pieces that only start with spaces: cuts before each run of spaces."""
+    """Chunks for pieces that only start with markers: cuts before each run of spaces.
+
+    A text's own U+2581 is a marker like those that spaces become, so a run of spaces that
+    follows one goes on with its run of markers and isn't cut off.
+    """
     data, offsets = utf8(texts)
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 1:
         cut[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+        cut[3:-1] &= ~((data[:-3] == 0xE2) & (data[1:-2] == 0x96) & (data[2:-1] == 0x81))
     return _cut(data, offsets, cut)
 
 

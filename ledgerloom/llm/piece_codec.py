@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding with a table of distinct chunks.
 
 If no piece holds a space marker after another character, pieces can't cross the start of a
-run of markers. Each distinct marked word (a run of spaces and what follows up to the next)
-is then segmented once, and its ids are joined back by position. ``check_pieces`` proves this
+run of markers, be they spaces or U+2581 of the text itself. Each distinct marked word (a run
+of markers that starts with a space, and what follows up to the next) is then segmented once,
+and its ids are joined back by position. ``check_pieces`` proves this
 from the model; any other model is refused.
 
 Defined results: a null text is empty (the end id alone, decoded to the empty text); rows
@@ -37,7 +38,11 @@ def processor(path: str):
 
 
 def check_pieces(path: str) -> None:
-    """Refuse a model whose pieces could cross a chunk's border or that rewrites texts."""
+    """Refuse a model whose pieces could cross a chunk's border or that rewrites texts.
+
+    A border lies before a space that follows something other than a marker (``cut_spaces``),
+    so a piece across it would hold a marker after another character.
+    """
     from sentencepiece import sentencepiece_model_pb2 as format
 
     model = format.ModelProto()

@@ -34,4 +34,8 @@ def awkward_texts() -> list[tuple[int | None, str | None]]:
         (11, "a  b   c   d e <|endoftext|> é. Ünïcode, 日本語のテキスト 🙂 ΣΑΣ it's"),
         (12, "x" * 30_000),
         (13, line + " \x00 odd"),
+        (14, "▁ "),
+        (15, "a▁ b"),
+        (16, " ▁ ▁"),
+        (17, "▁▁  ▁ a ▁b▁  c"),
     ]
