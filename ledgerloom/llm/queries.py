@@ -16,6 +16,7 @@ from ledgerloom.llm import (
     line_dedup,
     order_minhash,
     piece_codec,
+    spelling,
     token_counts,
     token_files,
     toxicity,
@@ -93,3 +94,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_compact_windows")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.repeats(table(spark, sf_dir, "documents"), Scratch(spark, "compact-windows"))
+
+
+@query("op12_spelling_variants", spelling.ORACLE_SQL.format(documents="documents"))
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), Scratch(spark, "spelling"), every=199)
