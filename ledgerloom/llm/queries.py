@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     bin_packing,
+    bond_scan,
     cap_filters,
     compact_windows,
     dimension_scan,
     line_dedup,
     order_minhash,
     piece_codec,
+    quality,
     spelling,
     token_counts,
     token_files,
@@ -96,6 +98,20 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.repeats(table(spark, sf_dir, "documents"), Scratch(spark, "compact-windows"))
 
 
+@query("op11_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Scratch(spark, "quality").save(quality.with_statistics(table(spark, sf_dir, "documents")), "statistics")
+    scored = quality.score_statistics(rows, quality.train(rows, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op12_spelling_variants", spelling.ORACLE_SQL.format(documents="documents"))
 def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), Scratch(spark, "spelling"), every=199)
+
+
+@query("op13_bond_negatives", bond_scan.ORACLE_SQL.format(embeddings="embeddings"))
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", mislabelled)
+    return bond_scan.hard_negatives(rows, Scratch(spark, "bond-scan"), F.col("vec_id") % 100 == 0)
