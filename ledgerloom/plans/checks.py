@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import Lookup
 from ledgerloom.operators.quality import duplicates
 from ledgerloom.plans.silver import FACTS
+from ledgerloom.sources.tables import stored_checks
 
 UNIQUE: dict[str, str] = {
     "dim_ob": "ob_id",
@@ -82,3 +83,19 @@ def null_counts(datasets: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
         for name, (df, column) in datasets.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def stored_null_counts(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """The same for rebuilt tables (name, column), from what was counted as they were written:
+    no data is read. A column that no gate counted is a KeyError."""
+    return _stored(spark, datasets, "check.nulls.", "nulls")
+
+
+def stored_duplicates(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """``dataset`` and its number of keys found more than once, as counted at the gate."""
+    return _stored(spark, datasets, "check.duplicates.", "duplicates")
+
+
+def _stored(spark: SparkSession, datasets: Mapping[str, tuple[str, str]], prefix: str, name: str) -> DataFrame:
+    counts = [(dataset, stored_checks(spark, table)[prefix + column]) for dataset, (table, column) in datasets.items()]
+    return spark.createDataFrame(counts, f"dataset string, {name} long")
