@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +38,10 @@ class Text:
 
 @dataclass(frozen=True)
 class FactSpec:
-    """How one ledger is conformed. A row is rejected when all its measures are zero."""
+    """How one ledger is conformed. A row is rejected when all its measures are zero.
+
+    Many ledgers share a spec; its expressions are built once.
+    """
 
     measures: tuple[str, ...] = ("financial_report_value", "management_report_value")
     keys: tuple[str, ...] = ("expense_code", "department_code")
@@ -46,6 +49,24 @@ class FactSpec:
     excluded: dict[str, tuple[str, ...]] = field(default_factory=dict)
     date: str = "accounting_date"
 
+    @cached_property
+    def columns(self) -> list[Column]:
+        return [
+            F.col(self.date),
+            *[zero_default(F.col(m)).alias(m) for m in self.measures],
+            *[norm_key(F.col(k)).alias(k) for k in self.keys],
+            *[t.column() for t in self.texts],
+        ]
+
+    @cached_property
+    def kept(self) -> Column:
+        """True for conformed rows that carry a measure and have their keys."""
+        all_zero = reduce(lambda a, b: a & b, [F.col(m) == 0 for m in self.measures])
+        no_key = reduce(
+            lambda a, b: a | b, [F.col(k).isin(*PLACEHOLDER_KEYS, *self.excluded.get(k, ())) for k in self.keys]
+        )
+        return ~(all_zero | no_key)
+
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -53,18 +74,7 @@ class DimSpec:
 
 
 def conform_fact(df: DataFrame, spec: FactSpec) -> DataFrame:
-    rows = df.select(
-        F.col(spec.date),
-        *[zero_default(F.col(m)).alias(m) for m in spec.measures],
-        *[norm_key(F.col(k)).alias(k) for k in spec.keys],
-        *[t.column() for t in spec.texts],
-    )
-
-    all_zero = reduce(lambda a, b: a & b, [F.col(m) == 0 for m in spec.measures])
-    no_key = reduce(
-        lambda a, b: a | b, [F.col(k).isin(*PLACEHOLDER_KEYS, *spec.excluded.get(k, ())) for k in spec.keys]
-    )
-    return rows.filter(~(all_zero | no_key))
+    return df.select(*spec.columns).filter(spec.kept)
 
 
 def conform_dim(df: DataFrame, spec: DimSpec) -> DataFrame:

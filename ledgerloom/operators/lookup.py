@@ -10,10 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ledgerloom.sources.workspace import materialised
+
 # Bytes up to which a measured dimension is broadcast.
 BROADCAST_BYTES = 100 << 20
 
@@ -21,6 +23,11 @@ BROADCAST_BYTES = 100 << 20
 SALTS = 4096
 
 
+def _width(df: DataFrame) -> Column:
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    return F.coalesce(F.sum(reduce(Column.__add__, texts, F.lit(8 * (len(df.columns) + 1)))), F.lit(0))
+
+
 @dataclass
 class Lookup:
     """A dimension to join facts with; measured once, on first use."""
@@ -34,13 +41,18 @@ class Lookup:
         """A dimension small by construction, such as one row per month; not measured."""
         return cls(df, _bytes=0)
 
+    @classmethod
+    def written(cls, df: DataFrame) -> "Lookup":
+        """A dimension that is written once and measured as it is written."""
+        seen = Observation()
+        stored = materialised(df.observe(seen, _width(df).alias("bytes")))
+        return cls(stored, _bytes=seen.get["bytes"])
+
     @property
     def bytes(self) -> int:
         """Its size in memory: 8 bytes a column and row, and the lengths of its texts."""
         if self._bytes is None:
-            texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in self.df.schema if isinstance(f.dataType, StringType)]
-            width = reduce(Column.__add__, texts, F.lit(8 * (len(self.df.columns) + 1)))
-            self._bytes = self.df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+            self._bytes = self.df.agg(_width(self.df)).first()[0]
         return self._bytes
 
     @property

@@ -43,10 +43,20 @@ DEPARTMENT_COLUMNS = (
 )
 
 
+def union_all(frames: Iterable[DataFrame], missing: bool = False) -> DataFrame:
+    """All rows of all frames, put together in pairs: a chain of unions would have every frame
+    analysed again for each that follows. ``missing`` fills up columns that a frame lacks."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = zip(frames[::2], [*frames[1::2], None], strict=False)
+        frames = [a if b is None else a.unionByName(b, allowMissingColumns=missing) for a, b in pairs]
+    return frames[0]
+
+
 def union_facts(facts: Iterable[DataFrame], columns: Iterable[str]) -> DataFrame:
     """All rows of all facts, by an explicit column list."""
     columns = list(columns)
-    return reduce(DataFrame.unionByName, [f.select(*columns) for f in facts])
+    return union_all(f.select(*columns) for f in facts)
 
 
 def tag_source(actual: DataFrame, planning: DataFrame) -> DataFrame:
@@ -86,10 +96,10 @@ def enrich(
     return rows.drop("fact_expense", "fact_department")
 
 
-def month_facts(fact: DataFrame) -> DataFrame:
+def month_facts(fact: DataFrame, measures: tuple[str, ...] = ("value",)) -> DataFrame:
     """Facts added up by month and codes: all a subtotal needs, and far fewer rows to shuffle."""
-    keys = [c for c in fact.columns if c not in ("date", "value")]
-    return fact.groupBy(*keys, month_start(F.col("date")).alias("date")).agg(F.sum("value").alias("value"))
+    keys = [c for c in fact.columns if c not in ("date", *measures)]
+    return fact.groupBy(*keys, month_start(F.col("date")).alias("date")).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def classify(expense_type: Column) -> Column:

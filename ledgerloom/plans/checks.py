@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import Lookup
+from ledgerloom.operators.pnl import union_all
 from ledgerloom.operators.quality import duplicates
 from ledgerloom.plans.silver import FACTS
 from ledgerloom.sources.tables import stored_checks
@@ -43,7 +43,7 @@ def unique_violations(tables: Mapping[str, DataFrame], checks: Mapping[str, str]
         duplicates(tables[name], key).select(F.lit(name).alias("dataset"), F.col(key).cast("string").alias("key"), "n")
         for name, key in checks.items()
     ]
-    return reduce(DataFrame.unionByName, found)
+    return union_all(found)
 
 
 def relationship_violations(
@@ -62,15 +62,14 @@ def relationship_violations(
         for name, keys in checks.items()
     ]
     counts = (
-        reduce(DataFrame.unionByName, pairs)
+        union_all(pairs)
         .select("dataset", "k.key_column", "k.key")
         .filter(F.col("key").isNotNull())
         .groupBy("dataset", "key_column", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    known = reduce(
-        DataFrame.unionByName,
-        [tables[dim].select(F.lit(key).alias("key_column"), F.col(key).alias("key")) for key, dim in KEY_DIMS.items()],
+    known = union_all(
+        tables[dim].select(F.lit(key).alias("key_column"), F.col(key).alias("key")) for key, dim in KEY_DIMS.items()
     )
     lookup = Lookup(known)
     return counts.join(F.broadcast(known) if lookup.is_small else known, ["key_column", "key"], "left_anti")
@@ -82,7 +81,7 @@ def null_counts(datasets: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
         df.agg(F.count_if(F.col(column).isNull()).alias("nulls")).select(F.lit(name).alias("dataset"), "nulls")
         for name, (df, column) in datasets.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return union_all(counts)
 
 
 def stored_null_counts(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]) -> DataFrame:

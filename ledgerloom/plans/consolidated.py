@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +10,11 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.numbers import AMOUNT, MILLIONTH, is_decimal, rescale
 from ledgerloom.operators import pnl
 from ledgerloom.operators.currency import fx_multiply, rate_lookup
-from ledgerloom.plans.entities import DETAIL_COLUMNS, EMPTY_TEXT, OUTPUT, Codes
+from ledgerloom.plans.entities import DETAIL_COLUMNS, EMPTY_TEXT, FINANCIAL, MANAGEMENT, OUTPUT, Codes, all_details, all_facts, entities, routed
 from ledgerloom.plans.star import Star, Tables
-from ledgerloom.sources.workspace import materialised
 
 COLUMNS = DETAIL_COLUMNS
+_DATE, _VALUE = "accounting_date AS date", f"{MANAGEMENT} AS value"
 
 
 @dataclass(frozen=True)
@@ -61,12 +60,7 @@ def report_details(report: DataFrame, entity: str) -> DataFrame:
 
 def direct_ledger(tables: Tables, ledger: str) -> DataFrame:
     actual, planning = (
-        tables[name].select(
-            F.col("accounting_date").alias("date"),
-            F.col("management_report_value").alias("value"),
-            "expense_code",
-            "department_code",
-        )
+        tables[name].selectExpr(_DATE, _VALUE, "expense_code", "department_code")
         for name in (ledger, f"{ledger}_planning")
     )
     return pnl.tag_source(actual, planning).select(*COLUMNS)
@@ -74,13 +68,7 @@ def direct_ledger(tables: Tables, ledger: str) -> DataFrame:
 
 def eliminations(tables: Tables) -> DataFrame:
     actual, planning = (
-        tables[name].select(
-            F.col("accounting_date").alias("date"),
-            F.col("management_report_value").alias("value"),
-            "expense_code",
-            "department_code",
-            "type",
-        )
+        tables[name].selectExpr(_DATE, _VALUE, "expense_code", "department_code", "type")
         for name in ("elimination", "elimination_planning")
     )
     return pnl.tag_source(actual, planning)
@@ -123,7 +111,7 @@ def union_scaled(codes: Codes, details: DataFrame, tables: Tables) -> DataFrame:
         for p in parts(codes)
         if p.ledger is not None
     ]
-    rows = reduce(DataFrame.unionByName, [scaled, *ledgers, routed_eliminations(codes, tables)])
+    rows = pnl.union_all([scaled, *ledgers, routed_eliminations(codes, tables)])
     return rows.withColumn("value", F.col("value").cast(AMOUNT)) if is_decimal(rows, "value") else rows
 
 
@@ -142,6 +130,32 @@ def consolidated_rows(
     )
 
 
+def company_facts(codes: Codes, tables: Tables) -> DataFrame:
+    """All facts of the company and its peer before any dimension: ``all_facts``, and the rows
+    that are in millions already, whose entity is empty."""
+    in_millions = [direct_ledger(tables, p.ledger) for p in parts(codes) if p.ledger is not None]
+    in_millions.append(routed_eliminations(codes, tables))
+    own = pnl.union_facts(in_millions, COLUMNS)
+    millions = tag_company(own, tables["peer_fact"], codes).withColumn("entity", F.lit(""))
+    entity_rows = all_facts(entities(codes), tables).withColumn("company", F.lit(codes.company))
+    return entity_rows.unionByName(millions, allowMissingColumns=True)
+
+
+def company_rows(codes: Codes, facts: DataFrame, tables: Tables, star: Star) -> DataFrame:
+    """Rows of ``company_facts`` (or sums of them by month and codes) with their dimensions,
+    routed to their entity, in the group's currency and in millions.
+
+    A row is joined once: the codes it gets from its dimensions would find the same rows again.
+    """
+    rows = routed(entities(codes), pnl.enrich(facts, star.expense, star.department))
+    named = [p.entity for p in parts(codes) if p.entity is not None]
+    rows = converted(codes, rows.filter(F.col("entity").isin("", *named)), tables)
+    given = F.col("given").cast(AMOUNT) if is_decimal(rows, "value") else F.col("given")
+    rows = rescale(rows.withColumn("given", F.col("value")), "value", MILLIONTH)
+    rows = rows.withColumn("value", F.when(F.col("entity") == "", given).otherwise(F.col("value"))).drop("given", "entity")
+    return rows.withColumn("value_type", pnl.classify(F.col("expense_type_5_id")))
+
+
 KEYS = ["source", "company"]
 CONSOLIDATED_OUTPUT = (*OUTPUT[:13], "company", *OUTPUT[13:])
 
@@ -159,13 +173,37 @@ def stacked(rows: DataFrame, sums: DataFrame) -> DataFrame:
     return pnl.stack_rows(pnl.label_units(rows), sums, EMPTY_TEXT)
 
 
+def _reported(rows: DataFrame, summed: DataFrame) -> DataFrame:
+    """Detail rows, their month subtotals, and on every row the revenue of its year."""
+    sums = month_sums(summed)
+    out = stacked(rows, pnl.with_previous(sums, KEYS, 1))
+    return pnl.attach_revenue(out, year_revenue(sums), KEYS, "year").select(*CONSOLIDATED_OUTPUT)
+
+
 def consolidate(codes: Codes, details: DataFrame, tables: Tables, star: Star) -> DataFrame:
-    """The dataset: detail rows, month subtotals, and on every row the revenue of its year.
+    """The dataset from given detail rows of all entities, such as stored reports.
 
-    The detail rows gather some fifty ledgers and are used three times, so they are
-    written once.
+    Subtotals are taken of the same rows, or of facts added up before large dimensions
+    (``entities.sum_rows``); the plan uses their exchange twice.
     """
-    rows = materialised(consolidated_rows(codes, details, tables, star))
-    sums = month_sums(rows)
-    out = stacked(rows, pnl.with_previous(sums, KEYS, 1))
-    return pnl.attach_revenue(out, year_revenue(sums), KEYS, "year").select(*CONSOLIDATED_OUTPUT)
+    fact = tag_company(union_scaled(codes, details, tables), tables["peer_fact"], codes)
+
+    def rows(of: DataFrame) -> DataFrame:
+        return pnl.enrich(of, star.expense, star.department).withColumn("value_type", pnl.classify(F.col("expense_type_5_id")))
+
+    return _reported(rows(fact), rows(fact if star.is_small else pnl.month_facts(fact)))
+
+
+def consolidated(codes: Codes, tables: Tables, star: Star) -> DataFrame:
+    """The dataset from the conformed ledgers: no report is needed or written in between.
+
+    Detail rows are streamed from one pass over all ledgers, a second pass takes subtotals: of
+    rows joined with broadcast dimensions, or of facts added up by month and code before larger
+    ones, so that a hot code is a few rows in the joins' shuffle. Where a dimension holds a code twice, rows
+    that pass through a report are doubled twice, so that is what happens here too.
+    """
+    if not star.codes_are_unique:
+        return consolidate(codes, all_details(entities(codes), tables, star), tables, star)
+    facts = company_facts(codes, tables)
+    summed = facts if star.is_small else pnl.month_facts(facts, ("value", FINANCIAL, MANAGEMENT))
+    return _reported(company_rows(codes, facts, tables, star), company_rows(codes, summed, tables, star))

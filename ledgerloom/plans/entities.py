@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from typing import Literal
 
 from pyspark.sql import DataFrame
@@ -173,9 +172,7 @@ def branch_rows(branch: Branch, measure: str, tables: Tables) -> DataFrame:
         rows = rows.filter(F.col("department_code") == branch.department)
     if branch.year is not None:
         rows = slice_year(rows, "accounting_date", branch.year)
-    rows = rows.select(
-        F.col("accounting_date").alias("date"), F.col(measure).alias("value"), "department_code", "expense_code"
-    )
+    rows = rows.selectExpr("accounting_date AS date", f"{measure} AS value", "department_code", "expense_code")
     if branch.rate_department is not None:
         rows = fx_divide(rows, rate_lookup(tables["exchange_rate"], branch.rate_department), "date", "value")
     return rows
@@ -246,16 +243,12 @@ def subtotals(spec: EntitySpec, rows: DataFrame) -> DataFrame:
 DETAIL_COLUMNS = ("date", "value", "expense_code", "department_code", "source")
 
 
-def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> DataFrame:
-    """``DETAIL_COLUMNS`` and ``entity`` of every dataset's detail rows, in one pass.
+def all_facts(specs: dict[str, EntitySpec], tables: Tables) -> DataFrame:
+    """The facts of every dataset, with the ``entity`` they belong to, before any dimension.
 
-    The parent's ledgers feed five blocks; here they are read once and a row's block
-    decides its entity and measure. All ledgers are united before the dimension joins,
-    which compare conformed keys, so upper and lower case make no difference.
+    The parent's ledgers feed all blocks. They are read once, with both measures and without
+    an entity, which ``routed`` then takes from a row's block.
     """
-    blocks = {s.block: s for s in specs.values() if s.block is not None}
-    if len(blocks) < sum(s.block is not None for s in specs.values()):
-        raise ValueError("two entities have one block code")
     shared = pnl.tag_source(
         *[
             pnl.union_facts([_measures(tables[b.table]) for b in branches], _MEASURES)
@@ -269,9 +262,14 @@ def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> Dat
         for s in specs.values()
         if s.detail is not None
     ]
-    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [shared, *own])
-    rows = pnl.enrich(facts, star.expense, star.department)
+    return pnl.union_all([shared, *own], missing=True)
 
+
+def routed(specs: dict[str, EntitySpec], rows: DataFrame) -> DataFrame:
+    """Enriched rows of ``all_facts`` with their entity and its measure; others are dropped."""
+    blocks = {s.block: s for s in specs.values() if s.block is not None}
+    if len(blocks) < sum(s.block is not None for s in specs.values()):
+        raise ValueError("two entities have one block code")
     entity, value = F.col("entity"), F.col("value")
     for block, spec in blocks.items():
         in_block = F.col("entity").isNull() & (F.col("ob_code") == block)
@@ -281,7 +279,17 @@ def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> Dat
     flipped = [s.name for s in specs.values() if s.flip_planned]
     turned = pnl.flip_planned_cost(F.col("value"), F.col("expense_type_5_id"), F.col("source"))
     value = F.when(F.col("entity").isin(*flipped), turned).otherwise(F.col("value"))
-    return rows.withColumn("value", value).select("entity", *DETAIL_COLUMNS)
+    return rows.withColumn("value", value).drop(FINANCIAL, MANAGEMENT)
+
+
+def all_details(specs: dict[str, EntitySpec], tables: Tables, star: Star) -> DataFrame:
+    """``DETAIL_COLUMNS`` and ``entity`` of every dataset's detail rows, in one pass.
+
+    All ledgers are united before the dimension joins, which compare conformed keys, so
+    upper and lower case make no difference.
+    """
+    rows = pnl.enrich(all_facts(specs, tables), star.expense, star.department)
+    return routed(specs, rows).select("entity", *DETAIL_COLUMNS)
 
 
 _MEASURES = ("date", FINANCIAL, MANAGEMENT, "department_code", "expense_code")

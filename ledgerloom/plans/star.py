@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import Lookup
 from ledgerloom.operators.pnl import department_dim, expense_dim
 from ledgerloom.sources.tables import read
-from ledgerloom.sources.workspace import materialised
 
 Tables = Mapping[str, DataFrame]
 
@@ -41,8 +42,18 @@ class Star:
     def is_small(self) -> bool:
         return self.expense.is_small and self.department.is_small
 
+    @cached_property
+    def codes_are_unique(self) -> bool:
+        """Does a code, in whatever case, find one row of its dimension at most? If so, rows that
+        carry a dimension's code find the same row again. Counted once, where they are counted."""
+        known = self.expense.df.select(F.lit("expense").alias("of"), F.upper("expense_code").alias("code")).unionByName(
+            self.department.df.select(F.lit("department").alias("of"), F.upper("department_code").alias("code"))
+        )
+        repeated = known.filter("code is not null").groupBy("of", "code").count().filter("count > 1")
+        return repeated.isEmpty()
+
     @classmethod
     def of(cls, tables: Tables) -> "Star":
         expense = expense_dim(tables["dim_expense_type"], tables["dim_expense_type_5"])
         department = department_dim(tables["dim_department"], tables["dim_ob"])
-        return cls(Lookup(materialised(expense)), Lookup(materialised(department)))
+        return cls(Lookup.written(expense), Lookup.written(department))

@@ -50,13 +50,14 @@ def fresh_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialised(df: DataFrame) -> DataFrame:
+def materialised(df: DataFrame, *partition_by: str) -> DataFrame:
     """Computed once, written to the shared folder and read back.
 
     Losing an executor then costs no rerun, later steps read only the columns they
-    need, and the planner knows the table's size.
+    need (and the partitions they filter), and the planner knows the table's size.
     """
     spark = df.sparkSession
     folder = fresh_folder(spark)
-    df.write.parquet(folder)
+    writer = df.write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import pnl
 from ledgerloom.plans import consolidated as c
 from ledgerloom.plans.entities import all_details, plan_actual
-from ledgerloom.sources.workspace import materialised
 from querybook import sqlsteps as s
 from querybook.fixtures import CODES, Inputs
 from querybook.gold import SPECS
-from querybook.registry import cte, query
+from querybook.registry import cte
+from querybook.registry import query as register
+
+query = partial(register, stored=True)
 
 # Consolidated amounts are in millions and keep six digits.
 MILLIONS = "decimal(28,6)"
@@ -215,7 +217,7 @@ def revenue_year(i: Inputs) -> DataFrame:
 
 @query("con_stacked", f"SELECT * EXCLUDE (value, previous_value), {s.money('value, previous_value', 6)} FROM {{erc_all}}")
 def stacked(i: Inputs) -> DataFrame:
-    rows = materialised(rows_all(i))
+    rows = rows_all(i)
     out = c.stacked(rows, pnl.with_previous(c.month_sums(rows), c.KEYS, 1))
     return millions(out.select(*c.CONSOLIDATED_OUTPUT[:-1]))
 
@@ -227,4 +229,4 @@ def stacked(i: Inputs) -> DataFrame:
           ON r.date = CAST(date_trunc('year', c.date) AS DATE) AND r.source = c.source AND r.company = c.company""",
 )
 def plan_actual_all(i: Inputs) -> DataFrame:
-    return millions(c.consolidate(CODES, details_of(i), i.tables, i.star))
+    return millions(c.consolidated(CODES, i.tables, i.star))

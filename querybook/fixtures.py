@@ -15,11 +15,12 @@ from ledgerloom.plans.entities import Codes
 from ledgerloom.plans.silver import conform
 from ledgerloom.plans.star import Star
 from ledgerloom.plans.step_down import AllocationCodes, Service, StepDown
+from ledgerloom.sources.workspace import materialised
 
 VIEWS = {
     "dim_ob": """
         SELECT r_regionkey AS ob_id,
-               CASE r_regionkey WHEN 0 THEN 'VN' WHEN 1 THEN 'SNP' WHEN 2 THEN 'APAC' WHEN 3 THEN 'GROUP' ELSE 'VVN' END AS ob_code
+               CASE r_regionkey WHEN 0 THEN 'VN' WHEN 1 THEN 'SNP' WHEN 2 THEN 'APAC' WHEN 3 THEN 'GROUP' ELSE 'REG' END AS ob_code
         FROM {region}""",
     "dim_department": """
         SELECT s_suppkey AS department_id,
@@ -165,7 +166,7 @@ CODES = Codes(
     solutions_block="SNP",
     vietnam_block="VN",
     group_block="GROUP",
-    regional_block="VVN",
+    regional_block="REG",
     japan_department="DEP-2",
     japan_takeover_year=1996,
     japan_allocation_department="DEP-5",
@@ -189,6 +190,10 @@ ALLOCATION_CODES = AllocationCodes(
 )
 
 
+#: Views that a query over many ledgers stores first, with their partitions.
+_LAYOUT = {"ledger_raw": ("source", "branch"), "exchange_rate": ("source",)}
+
+
 class _Conformed(dict):
     """Conformed tables by name; tables the allocation reads unconformed stay as loaded."""
 
@@ -204,10 +209,15 @@ class _Conformed(dict):
 
 
 class Inputs:
-    """The inputs of one query run."""
+    """The inputs of one query run.
+
+    ``stored``: the raw ledger is derived once and written by source and branch, so that each
+    ledger is a few folders of its own, as tables in a warehouse are. Without it every ledger
+    is derived from the test table again, which costs less for one or two of them.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False):
+        self.spark, self.sf_dir, self.stored = spark, sf_dir, stored
         self._opened: dict[str, DataFrame] = {}
 
     def _select(self, sql: str) -> DataFrame:
@@ -216,7 +226,11 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         if name not in self._opened:
             if name in VIEWS:
-                self._opened[name] = self._select(VIEWS[name])
+                view = self._select(VIEWS[name])
+                layout = _LAYOUT.get(name) if self.stored else None
+                if layout is not None:  # the test table is a file of few row groups
+                    view = materialised(view.repartition(self.spark.sparkContext.defaultParallelism), *layout)
+                self._opened[name] = view
             else:
                 self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._opened[name]

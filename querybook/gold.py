@@ -234,7 +234,7 @@ def unit_labels(i: Inputs) -> DataFrame:
 
 
 def _report(key: str, name: str, sql: str | None = None, **options) -> None:
-    @query(key, sql or s.attached(name))
+    @query(key, sql or s.attached(name), stored=True)
     def build(i: Inputs) -> DataFrame:
         return money(e.plan_actual(SPECS[name], i.tables, i.star, **options))
 

@@ -46,7 +46,7 @@ def _orphans(fact: str, key: str) -> str:
         WHERE NOT EXISTS (SELECT 1 FROM {{s_{checks.KEY_DIMS[key]}}} d WHERE d.{key} = f.{key}) GROUP BY {key}"""
 
 
-@query("dq_relationships", " UNION ALL ".join(_orphans(n, k) for n, spec in FACTS.items() for k in spec.keys))
+@query("dq_relationships", " UNION ALL ".join(_orphans(n, k) for n, spec in FACTS.items() for k in spec.keys), stored=True)
 def relationships(i: Inputs) -> DataFrame:
     return checks.relationship_violations(i.tables)
 
@@ -91,6 +91,7 @@ _ALLOCATIONS = ("support", "bo", "comtor", "qa", "overhead")
         + [f"SELECT '{n}', count(*) - count(date) FROM {{erc_{n}}}" for n in _REPORTS]
         + [f"SELECT '{n}', count(*) - count(date) FROM {{a_{n}}}" for n in _ALLOCATIONS]
     ),
+    stored=True,
 )
 def not_null(i: Inputs) -> DataFrame:
     datasets = {t: (i.tables[t], c) for t, c in checks.NOT_NULL.items()}

@@ -17,14 +17,17 @@ CTES: dict[str, str] = {}
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-def query(name: str, sql: str | None = None) -> Callable:
-    """Register a function of ``Inputs`` under ``name``, with the SQL it must equal."""
+def query(name: str, sql: str | None = None, stored: bool = False) -> Callable:
+    """Register a function of ``Inputs`` under ``name``, with the SQL it must equal.
+
+    ``stored``: it reads many ledgers, so they are stored first, as loaded tables are.
+    """
 
     def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
         BUILDERS[name] = build
-        QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir, stored))
         if sql is not None:
             ORACLES[name] = with_ctes(sql)
         return build

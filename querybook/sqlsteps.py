@@ -195,7 +195,7 @@ cte(
 )
 cte("er_vietnam", "SELECT * FROM {er_vietnam_main} UNION ALL SELECT * FROM {er_vietnam_carved}")
 cte("er_group", enriched("f_main_fin", fold="lower", where="d.ob_code = 'GROUP'"))
-cte("er_regional", enriched("f_main_fin", fold="lower", where="d.ob_code = 'VVN'"))
+cte("er_regional", enriched("f_main_fin", fold="lower", where="d.ob_code = 'REG'"))
 
 BY_MONTH = ("apac", "education", "it_services", "solutions", "training", "japan", "korea", "vietnam")
 BY_DEPARTMENT = ("group", "regional")
