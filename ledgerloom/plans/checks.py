@@ -11,7 +11,7 @@ from ledgerloom.operators.lookup import Lookup
 from ledgerloom.operators.pnl import union_all
 from ledgerloom.operators.quality import duplicates
 from ledgerloom.plans.silver import FACTS
-from ledgerloom.sources.tables import stored_checks
+from ledgerloom.sources.tables import scan, stored_checks
 
 UNIQUE: dict[str, str] = {
     "dim_ob": "ob_id",
@@ -68,6 +68,28 @@ def relationship_violations(
         .groupBy("dataset", "key_column", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return _unknown(counts, tables)
+
+
+def stored_relationship_violations(
+    spark: SparkSession, stored: Mapping[str, str], dims: Mapping[str, DataFrame], checks: Mapping[str, tuple[str, ...]] = RELATIONSHIPS
+) -> DataFrame:
+    """The same for stored facts (dataset to table), all files in one scan of their key columns.
+
+    Keys are counted by folder, and only those counts are told which dataset a folder is of.
+    """
+    columns = sorted({k for name in stored for k in checks[name]})
+    rows, known = scan(spark, stored, ", ".join(f"{c} string" for c in columns))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("key_column"), F.col(c).alias("key")) for c in columns]))
+    counts = rows.select("folder", pairs.alias("k")).select("folder", "k.*").filter(F.col("key").isNotNull())
+    counts = counts.groupBy("folder", "key_column", "key").agg(F.count(F.lit(1)).alias("n"))
+    declared = [(name, c) for name in stored for c in checks[name]]
+    known = known.join(spark.createDataFrame(declared, "dataset string, key_column string"), "dataset")
+    counts = counts.join(F.broadcast(known), ["folder", "key_column"])  # a row a folder and column
+    return _unknown(counts.groupBy("dataset", "key_column", "key").agg(F.sum("n").alias("n")), dims)
+
+
+def _unknown(counts: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     known = union_all(
         tables[dim].select(F.lit(key).alias("key_column"), F.col(key).alias("key")) for key, dim in KEY_DIMS.items()
     )

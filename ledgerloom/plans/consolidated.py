@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import AMOUNT, MILLIONTH, is_decimal, rescale
@@ -12,6 +13,7 @@ from ledgerloom.operators import pnl
 from ledgerloom.operators.currency import fx_multiply, rate_lookup
 from ledgerloom.plans.entities import DETAIL_COLUMNS, EMPTY_TEXT, FINANCIAL, MANAGEMENT, OUTPUT, Codes, all_details, all_facts, entities, routed
 from ledgerloom.plans.star import Star, Tables
+from ledgerloom.sources.tables import scan
 
 COLUMNS = DETAIL_COLUMNS
 _DATE, _VALUE = "accounting_date AS date", f"{MANAGEMENT} AS value"
@@ -58,6 +60,24 @@ def report_details(report: DataFrame, entity: str) -> DataFrame:
     return rows.select(F.lit(entity).alias("entity"), *COLUMNS)
 
 
+def stored_details(spark: SparkSession, reports: Mapping[str, str]) -> DataFrame:
+    """The detail rows of stored reports (entity to table), laid out by source and row class.
+
+    All reports are one scan, or one for each type their amounts have; only the folders of
+    detail rows are listed and read.
+    """
+    by_type: dict[str, dict[str, str]] = {}
+    for entity, table in reports.items():
+        by_type.setdefault(spark.table(table).schema["value"].dataType.simpleString(), {})[entity] = table
+    found = []
+    for kind, tables in by_type.items():
+        schema = f"date date, value {kind}, expense_code string, department_code string"
+        rows, known = scan(spark, tables, schema, by=("source",), value_type=pnl.DETAIL_TYPES)
+        rows = rows.join(F.broadcast(known), "folder")  # a row a folder
+        found.append(rows.select(F.col("dataset").alias("entity"), *COLUMNS))
+    return pnl.union_all(found)
+
+
 def direct_ledger(tables: Tables, ledger: str) -> DataFrame:
     actual, planning = (
         tables[name].selectExpr(_DATE, _VALUE, "expense_code", "department_code")

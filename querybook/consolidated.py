@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import pnl
 from ledgerloom.plans import consolidated as c
 from ledgerloom.plans.entities import all_details, plan_actual
+from ledgerloom.sources.tables import Gate, materialise
 from querybook import sqlsteps as s
 from querybook.fixtures import CODES, Inputs
-from querybook.gold import SPECS
+from querybook.gold import SPECS, workspace
 from querybook.registry import cte
 from querybook.registry import query as register
 
@@ -222,11 +223,27 @@ def stacked(i: Inputs) -> DataFrame:
     return millions(out.select(*c.CONSOLIDATED_OUTPUT[:-1]))
 
 
-@query(
-    "con_plan_actual",
-    f"""SELECT c.* EXCLUDE (value, previous_value), {s.money('c.value, c.previous_value', 6)}, CAST(r.value AS DECIMAL(28,6)) AS str_value
+_REPORT = f"""SELECT c.* EXCLUDE (value, previous_value), {s.money('c.value, c.previous_value', 6)}, CAST(r.value AS DECIMAL(28,6)) AS str_value
         FROM {{erc_all}} c LEFT JOIN {{year_revenue_all}} r
-          ON r.date = CAST(date_trunc('year', c.date) AS DATE) AND r.source = c.source AND r.company = c.company""",
-)
+          ON r.date = CAST(date_trunc('year', c.date) AS DATE) AND r.source = c.source AND r.company = c.company"""
+
+
+@query("con_plan_actual", _REPORT)
 def plan_actual_all(i: Inputs) -> DataFrame:
     return millions(c.consolidated(CODES, i.tables, i.star))
+
+
+def stored_reports(i: Inputs) -> dict[str, str]:
+    """All entities' reports as tables, laid out by source and row class; each date is checked."""
+    schema = workspace(i)
+    for name, spec in SPECS.items():
+        report = plan_actual(spec, i.tables, i.star)
+        materialise(report, f"{schema}.{name}", ("source", "value_type"), ("expense_type_5_id",), Gate(not_null=("date",)))
+    return {name: f"{schema}.{name}" for name in SPECS}
+
+
+@query("con_from_reports", _REPORT)
+def from_reports(i: Inputs) -> DataFrame:
+    """The consolidation from the stored reports of all entities, read by their names."""
+    details = c.stored_details(i.spark, stored_reports(i))
+    return millions(c.consolidate(CODES, details, i.tables, i.star))

@@ -228,9 +228,7 @@ class Inputs:
             if name in VIEWS:
                 view = self._select(VIEWS[name])
                 layout = _LAYOUT.get(name) if self.stored else None
-                if layout is not None:  # the test table is a file of few row groups
-                    view = materialised(view.repartition(self.spark.sparkContext.defaultParallelism), *layout)
-                self._opened[name] = view
+                self._opened[name] = view if layout is None else materialised(view, *layout)
             else:
                 self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._opened[name]

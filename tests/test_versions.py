@@ -1,5 +1,6 @@
 """Rebuilt and reloaded tables: failures, readers, two writers, checks, layout, sweeps."""
 
+import datetime as dt
 import os
 import time
 import uuid
@@ -179,3 +180,40 @@ def test_files_of_bounded_number_and_skipped(spark, schema):
 
     holding = [f for f in found if any(a <= 7 <= b for a, b in kinds(f))]
     assert len(holding) < len(found) and spark.table(f"{schema}.many").filter("kind = 7").count() == sum(1 for i in range(200_000) if i % 18 == 7)
+
+
+def test_many_tables_in_one_scan(spark, schema):
+    rows = numbers(spark, 6).withColumn("s", F.when(F.col("k") > 4, None).when(F.col("k") > 2, "x:y z").otherwise("plain"))
+    sinks.materialise(rows, f"{schema}.a", ("s", "p"))
+    sinks.materialise(rows.filter("k < 3"), f"{schema}.a", ("s", "p"))  # old files are not read
+    sinks.materialise(rows.filter("k > 2").select("k", "s", "p", F.lit("here").alias("extra")), f"{schema}.b", ("s", "p"))
+    sinks.materialise(rows.filter("k > 9"), f"{schema}.empty", ("s", "p"))
+    sinks.replace_all(numbers(spark, 2, 50), sinks.ensure_table(spark, schema, ONE))
+    fact = sinks.ensure_table(spark, schema, FACT, by_year=True)
+    for year in (2023, 2024):
+        sinks.replace_year(numbers(spark, 1, year).withColumn("d", F.make_date(F.lit(year), F.lit(1), F.lit(1))), fact, year)
+    named = {n: f"{schema}.{n}" for n in ("a", "b", "empty", "d", "f")}
+    found, known = sinks.scan(spark, named, "k int, extra string")
+    joined = found.join(known, "folder")
+    assert sorted((r["dataset"], r["k"], r["extra"]) for r in joined.collect()) == [
+        ("a", 0, None), ("a", 1, None), ("a", 2, None), ("b", 3, "here"), ("b", 4, "here"), ("b", 5, "here"),
+        ("d", 50, None), ("d", 51, None), ("f", 2023, None), ("f", 2024, None),
+    ]
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    found, known = sinks.scan(spark, {n: named[n] for n in ("a", "b")}, "k int", by=("s",), p=("0", "1"))
+    got = sorted((r["dataset"], r["k"], r["s"]) for r in found.join(known, "folder").collect())
+    assert got == [("a", 0, "plain"), ("a", 1, "plain"), ("b", 3, "x:y z"), ("b", 4, "x:y z")]
+    assert {r["s"] for r in sinks.scan(spark, {"b": named["b"]}, "k int", by=("s",), p=("2",))[1].collect()} == {None}
+    with pytest.raises(ValueError, match="no table"):
+        sinks.scan(spark, {"empty": named["empty"]}, "k int")
+
+
+def test_relationships_of_stored_facts(spark, schema):
+    rows = spark.createDataFrame([("E1", "D1"), ("E1", "D9"), ("E9", "D9"), (None, "D1")], "expense_code string, department_code string")
+    sinks.materialise(rows, f"{schema}.main")
+    sinks.materialise(rows.select(F.lit(dt.date(2024, 1, 1)).alias("date"), "department_code"), f"{schema}.rate", ("date",))
+    dims = {"dim_department": rows.filter("department_code = 'D1'"), "dim_expense_type": rows.filter("expense_code = 'E1'")}
+    declared = {"main": ("expense_code", "department_code"), "rate": ("department_code",)}
+    got = checks.stored_relationship_violations(spark, {n: f"{schema}.{n}" for n in declared}, dims, declared)
+    expected = [("main", "department_code", "D9", 2), ("main", "expense_code", "E9", 1), ("rate", "department_code", "D9", 2)]
+    assert sorted(tuple(r) for r in got.select("dataset", "key_column", "key", "n").collect()) == expected
