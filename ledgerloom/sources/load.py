@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -14,6 +15,7 @@ from ledgerloom.functions.dates import COLUMN_FORMATS, parse_date, to_date_lenie
 from ledgerloom.functions.numbers import to_float, to_int, to_long
 from ledgerloom.functions.text import clean_text
 from ledgerloom.sources.contract import Contract, ContractError
+from ledgerloom.sources.workspace import materialised
 
 Kind = Literal["dim", "fact"]
 
@@ -65,12 +67,24 @@ def read_text_table(spark: SparkSession, *paths: str, multi_line: bool = False)
 
 
 def _headers(spark: SparkSession, files: list[str]) -> list[tuple[str, tuple[str, ...]]]:
-    """Each file with the column names in its first line; one short row a file."""
-    if not files:
-        return []
-    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("line")).collect()
-    return [(r["file"], tuple(next(csv.reader([r["line"]])))) for r in first if r["line"]]
+    """Each file with the column names in its first line; the rest of it is not read."""
+    with ThreadPool(min(32, max(1, len(files)))) as pool:
+        lines = pool.map(lambda file: _first_line(spark, file), files)
+    return [(file, tuple(next(csv.reader([line])))) for file, line in zip(files, lines, strict=True) if line]
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """A text file's first line, through the file system Spark has for it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        opened = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return None if line is None else line.removeprefix("\ufeff")
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -101,24 +115,23 @@ def apply_mapping(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[F.col(f"`{m.source}`").alias(m.target) for m in contract.mappings])
 
 
-def detect_date_formats(
-    df: DataFrame, columns: list[str], mode: Literal["first", "best"] = "first"
-) -> dict[str, str | None]:
-    """One format per column, decided on all its cells in a single aggregation.
+Mode = Literal["first", "best"]
+
+
+def _format_counts(columns: list[str]) -> list[Column]:
+    """How many cells of each column fit each format."""
+    return [
+        F.count(parse_date(F.col(c), fmt)).alias(f"{i}_{j}") for i, c in enumerate(columns) for j, fmt in enumerate(COLUMN_FORMATS)
+    ]
+
+
+def choose_formats(counts: dict[str, int], columns: list[str], mode: Mode = "first") -> dict[str, str | None]:
+    """One format per column, decided on all its cells.
 
     ``first`` takes the first format any cell fits, so a day-first column with a day
     up to 12 is read month-first, as the fixed order of formats has it; ``best``
     takes the format most cells fit (the earlier one on a tie). None: no format fits.
     """
-    if not columns:
-        return {}
-    counts = df.agg(
-        *[
-            F.count(parse_date(F.col(c), fmt)).alias(f"{i}_{j}")
-            for i, c in enumerate(columns)
-            for j, fmt in enumerate(COLUMN_FORMATS)
-        ]
-    ).first()
     found: dict[str, str | None] = {}
     for i, c in enumerate(columns):
         valid = [counts[f"{i}_{j}"] for j in range(len(COLUMN_FORMATS))]
@@ -129,10 +142,28 @@ def detect_date_formats(
     return found
 
 
-def coerce(df: DataFrame, contract: Contract, kind: Kind, mode: Literal["first", "best"] = "first") -> DataFrame:
-    """Typed columns; cells that do not fit their type become NULL."""
+def staged_counts(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The text rows, written, and the counts to choose date formats by, which are taken while
+    they are written: the text is read once, all that follows reads the written columns."""
+    if not columns:
+        return df, {}
+    seen = Observation()
+    stored = materialised(df.observe(seen, *_format_counts(columns)))
+    return stored, seen.get
+
+
+def detect_date_formats(df: DataFrame, columns: list[str], mode: Mode = "first") -> dict[str, str | None]:
+    """The same decision by an aggregation alone, for rows that need not be written."""
+    return choose_formats(df.agg(*_format_counts(columns)).first().asDict(), columns, mode) if columns else {}
+
+
+def coerce(df: DataFrame, contract: Contract, kind: Kind, mode: Mode = "first") -> DataFrame:
+    """Typed columns; cells that do not fit their type become NULL. A fact's text is staged."""
     dates = [m.target for m in contract.mappings if isinstance(m.data_type, DateType)]
-    formats = detect_date_formats(df, dates, mode) if kind == "fact" else {}
+    formats: dict[str, str | None] = {}
+    if kind == "fact":
+        df, counts = staged_counts(df, dates)
+        formats = choose_formats(counts, dates, mode)
 
     def typed(name: str, data_type) -> Column:
         c = F.col(name)
@@ -158,7 +189,10 @@ def slice_year(df: DataFrame, time_column: str, year: int) -> DataFrame:
 
 
 def load(df: DataFrame, contract: Contract, kind: Kind, year: int | None = None) -> DataFrame:
-    """Check, map and coerce a text table; a fact also keeps only the load year."""
+    """Check, map and coerce a text table; a fact also keeps only the load year.
+
+    For all years of a sheet leave ``year`` out and give the rows to ``tables.replace_years``.
+    """
     if kind == "fact":
         df = normalise_headers(df)
     validate_input(df, contract)

@@ -10,11 +10,11 @@ from ledgerloom.plans.star import CatalogTables, Star
 from ledgerloom.sources import load as load_steps
 from ledgerloom.sources import tables as sinks
 from ledgerloom.sources.contract import Contract
-from ledgerloom.sources.workspace import fresh_folder, materialised
+from ledgerloom.sources.workspace import fresh_folder
 from querybook import sqlsteps as s
 from querybook.fixtures import Inputs
 from querybook.gold import SPECS, money, workspace
-from querybook.ingest import export, years
+from querybook.ingest import export
 from querybook.registry import query, with_ctes
 
 FACT_TABLES = ("education_ledger", "education_ledger_planning")
@@ -39,9 +39,7 @@ def to_bronze(i: Inputs, schema: str, name: str, time_column: str | None) -> Dat
     if time_column is None:
         sinks.replace_all(load_steps.load(text, contract, "dim"), table)
         return i.spark.table(table)
-    rows = materialised(load_steps.load(text, contract, "fact"))
-    for year in years(rows):
-        sinks.replace_year(load_steps.slice_year(rows, time_column, year), table, year, time_column)
+    sinks.replace_years(load_steps.load(text, contract, "fact"), table, time_column)
     return i.spark.table(table).drop(sinks.YEAR_COLUMN)
 
 

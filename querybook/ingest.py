@@ -180,9 +180,8 @@ def replace_all(i: Inputs) -> DataFrame:
 def replace_year(i: Inputs) -> DataFrame:
     """All years loaded; 1996 reloaded with fewer rows, 1998 with none."""
     table = sinks.ensure_table(i.spark, workspace(i), contract(i), by_year=True)
-    loaded = materialised(rows(i))
-    for year in years(loaded):
-        sinks.replace_year(load_steps.slice_year(loaded, "accounting_date", year), table, year, "accounting_date")
+    loaded = rows(i)
+    sinks.replace_years(loaded, table, "accounting_date")
     again = load_steps.slice_year(loaded, "accounting_date", 1996).filter(F.col("amount") > 100000)
     sinks.replace_year(again, table, 1996)
     sinks.replace_year(loaded.filter(F.lit(False)), table, 1998)
@@ -247,10 +246,9 @@ def dates(i: Inputs) -> DataFrame:
 )
 def date_detect(i: Inputs) -> DataFrame:
     """One format per column: the first that fits any cell, or the one that fits most."""
-    text = i.view("ledger_text")
     columns = ["date_dmy_mixed", "date_dmy_only", "date_iso"]
-    first = load_steps.detect_date_formats(text, columns)
-    best = load_steps.detect_date_formats(text, ["date_dmy_mixed"], "best")
+    text, counts = load_steps.staged_counts(i.view("ledger_text").select("ref_id", *columns), columns)
+    first, best = (load_steps.choose_formats(counts, columns, mode) for mode in ("first", "best"))
     return text.select(
         "ref_id",
         *[load_steps.parse_date(F.col(c), first[c]).alias(c) for c in columns],

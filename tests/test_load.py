@@ -226,3 +226,32 @@ def test_intermediates_go_with_their_scope(spark):
         folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
         assert kept.count() == 5 and folder.exists()
     assert not folder.exists()
+
+
+def test_a_load_reads_its_text_once(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("booked,v\n" + f"{k + 1}/2/2024,{k}\n" * 5)
+    spark.sparkContext.setJobGroup("load", "one load")
+    text = steps.read_text_table(spark, str(tmp_path))
+    listed = len(spark.sparkContext.statusTracker().getJobIdsForGroup("load"))
+    rows = steps.load(text, Contract("f", "booked", (Mapping("booked", "booked", "timestamp"), Mapping("v", "v", "int"))), "fact")
+    staged = len(spark.sparkContext.statusTracker().getJobIdsForGroup("load"))
+    spark.sparkContext.setJobGroup("later", "others")
+    assert staged - listed == 1
+    for k in range(3):
+        (tmp_path / f"{k}.csv").unlink()  # what follows reads the staged rows
+    assert rows.count() == 15 and {r["booked"] for r in rows.collect()} == {dt.date(2024, 1, 2), dt.date(2024, 2, 2), dt.date(2024, 3, 2)}
+
+
+def test_headers_of_compressed_and_marked_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "1 a.csv").write_bytes("\ufeffa,\"b,c\"\n1,2\n".encode())
+    (tmp_path / "2.csv.gz").write_bytes(gzip.compress(b"\"b,c\",a\n2,1\n"))
+    files = sorted("file:" + str(p) for p in tmp_path.iterdir())
+    found = dict(steps._headers(spark, files))
+    assert list(found.values()) == [("a", "b,c"), ("b,c", "a")]
+    (tmp_path / "2.csv.gz").unlink()
+    assert [tuple(r) for r in steps.read_text_table(spark, str(tmp_path)).select("a", "`b,c`").collect()] == [("1", "2")]
+    (tmp_path / "3.csv").write_text("")
+    assert steps._headers(spark, ["file:" + str(tmp_path / "3.csv")]) == []

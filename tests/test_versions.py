@@ -217,3 +217,38 @@ def test_relationships_of_stored_facts(spark, schema):
     got = checks.stored_relationship_violations(spark, {n: f"{schema}.{n}" for n in declared}, dims, declared)
     expected = [("main", "department_code", "D9", 2), ("main", "expense_code", "E9", 1), ("rate", "department_code", "D9", 2)]
     assert sorted(tuple(r) for r in got.select("dataset", "key_column", "key", "n").collect()) == expected
+
+
+def dated(spark, *years):
+    days = spark.createDataFrame([(dt.date(y, 3, 1) if y else None, k) for k, y in enumerate(years)], "d date, k int")
+    return days.repartition(3)
+
+
+def test_all_years_by_one_job(spark, schema):
+    fact = sinks.ensure_table(spark, schema, FACT, by_year=True)
+    counted = lambda: sorted((r["load_year"], r["count"]) for r in spark.table(fact).groupBy("load_year").count().collect())
+    assert sinks.replace_years(dated(spark, 2022, 2023, 2023, 2024, None), fact, "d") == [2022, 2023, 2024]
+    assert counted() == [(2022, 1), (2023, 2), (2024, 1)]
+    assert sinks.replace_years(dated(spark, 2023, 2025), fact, "d") == [2023, 2025]
+    assert counted() == [(2022, 1), (2023, 1), (2024, 1), (2025, 1)]
+    assert sinks.replace_years(dated(spark), fact, "d") == []
+    sinks.replace_year(dated(spark, 2022, 2022, 2022), fact, 2022, "d")
+    assert sinks.sweep(spark, fact) == []
+    cleared = sinks.sweep(spark, fact, hours=0)
+    assert sorted(c.rpartition("/")[2] for c in cleared if "=" in c) == ["load_year=2022", "load_year=2023"]
+    assert counted() == [(2022, 3), (2023, 1), (2024, 1), (2025, 1)]
+
+
+def test_a_refused_year_gives_up_the_later_ones(spark, schema):
+    fact = sinks.ensure_table(spark, schema, FACT, by_year=True)
+    staged = sinks.stage_years(dated(spark, 2022, 2023, 2024), fact, "d")
+    sinks.replace_year(dated(spark, 2023, 2023), fact, 2023)
+    staged[0].switch()
+    with pytest.raises(sinks.LoadConflict):
+        staged[1].switch()
+    staged[2].switch()
+    assert sorted((r["load_year"], r["count"]) for r in spark.table(fact).groupBy("load_year").count().collect()) == [(2022, 1), (2023, 2), (2024, 1)]
+    broken = dated(spark, 2022).withColumn("k", F.when(F.col("k") >= 0, F.raise_error(F.lit("broken cell"))).cast("int"))
+    with pytest.raises(Exception, match="broken cell"):
+        sinks.replace_years(broken, fact, "d")
+    assert spark.table(fact).count() == 4
