@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 # Result types of decimal arithmetic. Spark derives wider types by itself and gives
-# up scale beyond 38 digits, so each step is cast back to one of these.
+# up scale beyond 38 digits, so each step is cast back to one of these. Amounts have 20 digits
+# before the point, in units or millions, and ten after it; a product with a rate, a quotient
+# by one, and a rescaled amount keep all ten within the 38 digits that Spark computes with.
 MONEY = DecimalType(18, 2)
-AMOUNT = DecimalType(24, 10)
+AMOUNT = DecimalType(30, 10)
 RATE = DecimalType(12, 6)
 
 # Fixed value: the unit of consolidated reports and of the detail ledgers.
@@ -50,10 +52,10 @@ def is_decimal(df: DataFrame, name: str) -> bool:
 
 
 def rescale(df: DataFrame, name: str, factor: Decimal) -> DataFrame:
-    """Multiply a measure by a power of ten; exact for decimals."""
+    """Multiply a measure by a million or a millionth; decimals keep ten digits after the point."""
     if not is_decimal(df, name):
         return df.withColumn(name, F.col(name) * F.lit(float(factor)))
-    return df.withColumn(name, (F.col(name) * F.lit(factor)).cast(AMOUNT))
+    return df.withColumn(name, (F.col(name).cast(AMOUNT) * F.lit(factor)).cast(AMOUNT))
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:

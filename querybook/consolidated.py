@@ -66,18 +66,18 @@ cte(
 for _n in ("japan", "korea"):
     cte(
         f"fx_{_n}",
-        f"""SELECT d.date, CASE WHEN r.rate_value IS NULL THEN CAST(d.value AS DECIMAL(24,10))
-               ELSE CAST(CAST(d.value AS DECIMAL(24,10)) * CAST(r.rate_value AS DECIMAL(12,6)) AS DECIMAL(24,10)) END AS value,
+        f"""SELECT d.date, CASE WHEN r.rate_value IS NULL THEN CAST(d.value AS DECIMAL(28,10))
+               ELSE CAST(CAST(d.value AS DECIMAL(28,10)) * CAST(r.rate_value AS DECIMAL(10,6)) AS DECIMAL(28,10)) END AS value,
                d.expense_code, d.department_code, d.source
             FROM {{x_{_n}}} d LEFT JOIN {{x_rate}} r ON r.department_code = 'DEP-2' AND r.source = d.source
              AND date_trunc('month', r.accounting_date) = date_trunc('month', d.date)""",
     )
 
-_MILLIONTH = "CAST(CAST(value AS DECIMAL(24,10)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(24,10))"
+_MILLIONTH = "CAST(CAST(value AS DECIMAL(28,10)) * CAST(0.000001 AS DECIMAL(10,6)) AS DECIMAL(28,10))"
 
 
 def _part(segment: str, step: str, scaled: bool, where: str = "TRUE") -> str:
-    value = _MILLIONTH if scaled else "CAST(value AS DECIMAL(24,10))"
+    value = _MILLIONTH if scaled else "CAST(value AS DECIMAL(28,10))"
     return f"SELECT '{segment}' AS segment, date, {value} AS value, expense_code, department_code, source FROM {{{step}}} WHERE {where}"
 
 
