@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.stage import Scratch, mapped
-from ledgerloom.llm.vectors import dimension, matrix, rotation, taking_part, units
+from ledgerloom.llm.vectors import dimension, matrix, rotation, scaled, taking_part, units
 
 SEED = 20240917
 
@@ -57,7 +57,7 @@ def with_filters(classes: DataFrame, size: int, code_size: int, filters: int) ->
     turn, words = rotation(size, SEED), codewords(size, code_size)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = matrix(batch.column(3), size)
+        x = scaled(matrix(batch.column(3), size))
         x = x / np.linalg.norm(x, axis=1, keepdims=True) @ turn
         first, second = x[:, : size // 2] @ words[0].T, x[:, size // 2 :] @ words[1].T
         found = [list_decode(a, b, filters) for a, b in zip(first, second, strict=True)]
@@ -80,7 +80,7 @@ def compare(rows: DataFrame, size: int, least: float) -> DataFrame:
                 continue
             unit = unit.combine_chunks()
             own, cross = unit["filter"][0].as_py(), unit["i"][0].as_py() != unit["j"][0].as_py()
-            x = matrix(unit["embedding"].combine_chunks(), size)
+            x = scaled(matrix(unit["embedding"].combine_chunks(), size))
             norms = np.sqrt((x * x).sum(axis=1))
             linked = x @ x.T / (norms[:, None] * norms[None, :]) >= least
             np.fill_diagonal(linked, False)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.stage import Scratch, mapped
-from ledgerloom.llm.vectors import dimension, matrix, rotation, taking_part, units
+from ledgerloom.llm.vectors import dimension, matrix, rotation, scaled, taking_part, units
 
 SEED = 20240731
 COLUMNS = 16  # components a block
@@ -54,6 +54,7 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def cosines(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    x, query = scaled(x), scaled(query[None])[0]
     dots = (x * query).sum(axis=1)
     return dots / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((query * query).sum()))
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from ledgerloom.llm.stage import Scratch, mapped, packed, unpacked
 
@@ -170,8 +171,7 @@ def dedup_lines(
         columns += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "rest", "n_lines", "n_dropped"])
 
-    kinds = dict(rows.dtypes)
-    schema = f"doc_id {kinds['doc_id']}, text string, rest {kinds['rest']}, n_lines long, n_dropped long"
+    schema = StructType(rows.schema.fields[:3]).add("n_lines", LongType()).add("n_dropped", LongType())
     return unpacked(mapped(rows, run, schema), "doc_id", "text", "n_lines", "n_dropped")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.alignment import similar
 from ledgerloom.llm.components import components
-from ledgerloom.llm.stage import Scratch, mapped, slices, texts_of
+from ledgerloom.llm.stage import Scratch, mapped, packed, slices, texts_of, unpacked
 from ledgerloom.llm.vectors import units
 from ledgerloom.llm.words import mix, shingle_hashes, word_hashes
 
@@ -295,5 +295,6 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = 0.8, tables
 
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose class keeps them; rows of a null doc_id stay."""
-    dropped = classes.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    rows = packed(docs, "doc_id").withColumn("doc", F.col("doc_id").cast("long"))
+    dropped = classes.filter(~F.col("kept")).select(F.col("doc_id").alias("doc"))
+    return unpacked(rows.join(dropped, "doc", "left_anti"), "doc_id").select(*[f"`{c}`" for c in docs.columns])

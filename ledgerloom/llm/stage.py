@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.workspace import shared_folder
+from ledgerloom.sources.workspace import fresh_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -53,7 +52,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.folder = f"{fresh_folder(spark)}/{name}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"

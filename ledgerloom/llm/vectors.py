@@ -37,6 +37,12 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(column), size)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component below one: directions and
+    cosines keep every digit, and squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
+
+
 def units(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Tables of the rows that agree in the first ``keys`` columns, from sorted batches."""
     held: list[pa.RecordBatch] = []

@@ -5,7 +5,7 @@ import random
 SF = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use themselves.
-CLASHING = "doc_id long, text string, rest string, key string, n_lines string, score string, `Words` string, doc string, label int"
+CLASHING = "doc_id long, text string, rest string, key string, n_lines string, score string, `Words` string, doc string, label int, `a.b` int, `a b` string, _dropped string"
 
 
 def prose(seed: int, words: int, vocabulary: int = 3000) -> str:

@@ -23,7 +23,7 @@ def scratch(spark):
 
 @pytest.fixture(scope="session")
 def awkward(spark):
-    rows = [(i, t, "r", "k", "n", "s", "w", "d", 1) for i, t in awkward_texts()]
+    rows = [(i, t, "r", "k", "n", "s", "w", "d", 1, 2, "x", "y") for i, t in awkward_texts()]
     return spark.createDataFrame(rows, CLASHING).repartition(3)
 
 

@@ -1,6 +1,7 @@
 """The pipeline on the smallest scale: each stage against plain Python on its own input."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -8,6 +9,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from awkward import SF, awkward_texts
 from ledgerloom.llm.stage import Scratch, table
+from ledgerloom.sources.workspace import intermediates
 from test_line_dedup import expected as deduped_lines
 from test_near_documents import brute_classes, repeated_words
 from test_tokens import check_packing
@@ -66,10 +68,15 @@ def test_packing(stages):
 
 
 def test_awkward_documents_pass_all_stages(spark, awkward):
-    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in awkward_texts()], "doc_id long, text string, lang string, source string, n_chars long")
-    scratch = Scratch(spark, "test")
+    own = "score string, predicted int, rest string, `a.b` int, _dropped string, n_lines string, spans string"  # the stages' names
+    rows = [(i, t, "en", "s", 0, "s", 7, "r", 2, "x", "n", "p") for i, t in awkward_texts()]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {own}")
+    scratch, columns = Scratch(spark, "test"), docs.columns
     for name, stage in corpus_pipeline.STAGES:
         docs = scratch.save(stage(spark, docs, SF), name)
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+            assert {tuple(r) for r in docs.select("score", "predicted", "rest", "`a.b`", "n_lines").collect()} == {("s", 7, "r", 2, "n")}
     assert docs.count() > 0
     empty = stages_of_nothing(spark)
     assert empty.count() == 0
@@ -85,5 +92,14 @@ def stages_of_nothing(spark):
 
 def test_registered():
     names = set(queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "op1_line_dedup" in oracle_sql()
+
+
+def test_stages_go_with_their_scope(spark):
+    with intermediates(spark):
+        scratch = Scratch(spark, "test")
+        scratch.save(spark.range(3), "rows")
+        folder = Path(scratch.folder.removeprefix("file:"))
+        assert folder.exists()
+    assert not folder.exists()

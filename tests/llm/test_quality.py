@@ -86,8 +86,6 @@ def test_awkward_documents_and_labels(spark, awkward, nothing):
     scored = quality.score(awkward, model)
     assert scored.count() == len(awkward_texts()) and scored.filter("score is null or score < 0 or score > 1").count() == 0
     assert scored.columns == [*(c for c in awkward.columns if c != "score"), "score", "predicted"]
-    odd = awkward.withColumn("a.b", awkward.label).withColumnRenamed("key", "a b")
-    assert quality.score(odd, model).columns == [*(c for c in odd.columns if c != "score"), "score", "predicted"]
     one_class = trained(awkward, labels.filter("quality = 1"))
     assert {r["score"] for r in quality.score(awkward, one_class).collect()} == {1.0}
     assert trained(nothing, labels).share == 0.0 and quality.score(nothing, model).count() == 0
