@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.chunks import bpe_ids, with_end
+from ledgerloom.llm.chunks import TABLE_ENTRIES, bpe_ids, with_end
 from ledgerloom.llm.stage import mapped, slices, texts_of
 
 SALTS = 256  # sub-groups in which the pieces of one length are numbered
@@ -85,13 +85,16 @@ def places(bins: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int, int,
     return rows
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, crc: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, crc: bool = False, entries: int = TABLE_ENTRIES
+) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each document, the end id included; with ``crc``
-    the unsigned checksum ``ids_crc32`` of a piece's ids in place of the ids."""
+    the unsigned checksum ``ids_crc32`` of a piece's ids in place of the ids. ``entries`` is the
+    size of a Python worker's chunk table, which it keeps as long as it lives."""
     content = "ids_crc32" if crc else "ids"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, bounds = with_end(*bpe_ids(tokenizer_path, texts_of(batch.column(1))), end_id)
+        ids, bounds = with_end(*bpe_ids(tokenizer_path, texts_of(batch.column(1)), entries), end_id)
         sizes = np.diff(bounds)
         n = -(-sizes // capacity)
         doc = np.repeat(np.arange(len(sizes)), n)

@@ -161,3 +161,13 @@ def test_components(spark, scratch):
             root[a] = root[b] = min(root[a], root[b])
     linked = {k for a, b in edges if a != b for k in (a, b)}
     assert got == {k: v for k, v in root.items() if k in linked}
+
+
+def test_doubles_of_extreme_size(spark, scratch):
+    """Components whose squares overflow or vanish: all pairs here have cosines above 0.99."""
+    rows = [(0, [1e200, 0.0], 1), (1, [1e200, 1e198], 1), (2, [1e-200, 1e-202], 1), (3, [1.0, 0.0], 1), (50, [5e-310, 0.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    classes = cap_filters.near_vectors(frame, scratch()).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in classes} == {(i, 4, 0) for i, _, _ in rows}
+    near = dimension_scan.nearest(frame, scratch(), F.col("vec_id") % 50 == 0).collect()
+    assert len(near) == 8 and all(0.99 < r["score"] <= 1 + 1e-12 for r in near)
