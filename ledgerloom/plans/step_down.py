@@ -203,15 +203,31 @@ class StepDown:
             a.share(F.col("value"), F.col("expense"), F.col("calendar_mm_total")).alias("distribution"),
         )
 
-    def service_pool(self, service: Service) -> DataFrame:
-        """A service's own expense with the support and back-office cost it received, by date."""
+    @cached_property
+    def services(self) -> tuple[Service, Service]:
+        return self.codes.comtor, self.codes.qa
+
+    @cached_property
+    def service_pools(self) -> DataFrame:
+        """Each service's own expense with the support and back-office cost it received, by date.
+
+        Both services come from one aggregation and are written, so that a dataset of both
+        distributes support and back office once. A department can belong to both.
+        """
         own = self.expense.select("date", "department_code", a.ratio(F.col("value")).alias("value"))
         received = [
             df.select("date", "department_code", F.col("distribution").alias("value"))
             for df in (self.support_received(), self.bo())
         ]
-        rows = reduce(DataFrame.unionByName, [own, *received]).filter(service.is_pool(F.col("department_code")))
-        return a.sum_by_date(rows, "value", "expense_value")
+        matched = [F.when(s.is_pool(F.col("department_code")), k) for k, s in enumerate(self.services)]
+        rows = reduce(DataFrame.unionByName, [own, *received])
+        rows = rows.select("date", F.explode(F.array_compact(F.array(*matched))).alias("service"), "value")
+        return materialised(rows.groupBy("service", "date").agg(F.sum("value").alias("expense_value")))
+
+    def service_pool(self, service: Service) -> DataFrame:
+        """The pool of one of the two services by date."""
+        own = F.col("service") == self.services.index(service)
+        return self.service_pools.filter(own).select("date", "expense_value")
 
     def effort(self, service: Service) -> DataFrame:
         """Effort rows with the service's cost and man-months of their date.

@@ -1,6 +1,7 @@
 """Allocation steps against their definitions."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -138,6 +139,27 @@ def test_service_spelling(tables):
     assert folded.service_pool(folded.codes.qa).collect()[0]["expense_value"] == pytest.approx(5.5)
 
 
+def test_pools_of_both_services_come_from_one_table(tables):
+    """A department of both services counts in each; one without expense has no pool."""
+    both = StepDown(tables, replace(codes(Service("PQM", "effort", True)), comtor=Service("PQM", "effort", True)))
+    pools = [both.service_pool(s).collect() for s in both.services]
+    assert [[r["expense_value"] for r in p] for p in pools] == [[pytest.approx(5.5)]] * 2
+    one = StepDown(tables, codes(Service("PQM", "effort", True)))
+    assert one.service_pool(one.codes.comtor).collect() == []
+    with pytest.raises(ValueError):
+        one.service_pool(Service("W", "effort", True))
+
+
+def test_a_dataset_of_both_services_distributes_once(tables, monkeypatch):
+    built = []
+    for name in ("support_received", "bo"):
+        step = getattr(StepDown, name)
+        monkeypatch.setattr(StepDown, name, lambda self, n=name, f=step: built.append(n) or f(self))
+    step = StepDown(tables, codes(Service("PQM", "effort", True)))
+    assert [r["department_code"] for r in step.overhead().collect()] == ["W"]  # a service carries none
+    assert sorted(built) == ["bo", "support_received"]
+
+
 def test_received_support_equals_the_pairs(inputs):
     step = inputs.step_down
     pairs = step.support().groupBy("date", "department_code").agg(F.round(F.sum("distribution"), 6).alias("d"))
