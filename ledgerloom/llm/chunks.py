@@ -175,6 +175,15 @@ def _bpe_table(path: str, entries: int) -> ChunkTable:
     return ChunkTable(bpe_encoder(path), entries)
 
 
+def forget_tables() -> None:
+    """Drop the tables and tokenizers of stages before. A Python worker goes on to other stages and
+    would keep them; tasks that don't tokenize call this first."""
+    if _bpe_table.cache_info().currsize or tokenizer.cache_info().currsize:
+        _bpe_table.cache_clear()
+        tokenizer.cache_clear()
+        pa.default_memory_pool().release_unused()
+
+
 def bpe_ids(path: str, texts: pa.StringArray, entries: int = TABLE_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and the bounds of each text's ids."""
     chunks, first = cut_words(texts)

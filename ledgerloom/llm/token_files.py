@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.chunks import bpe_ids, tokenizer, with_end
+from ledgerloom.llm.chunks import bpe_ids, forget_tables, tokenizer, with_end
 from ledgerloom.llm.stage import Scratch, binary, mapped, portions, slices, texts_of
 
 BLOCK_IDS = 1 << 18
@@ -104,6 +104,7 @@ def rank_ids(ids: DataFrame, vocabulary: int) -> list[int]:
     """The ids of a vocabulary by frequency over all documents; its size bounds the list."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        forget_tables()
         data, _ = binary(batch.column(0))
         n = np.bincount(data.view("<u4"))
         seen = np.flatnonzero(n)
@@ -136,6 +137,7 @@ def code_blocks(ids: DataFrame, id_of_rank: list[int]) -> DataFrame:
     schema = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in BLOCKS.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tables()
         rows: list[tuple] = []
         size, after = 0, None
         for batch in portions(batches):
@@ -176,6 +178,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     placed = blocks.join(shards, "shard").withColumn("first", F.col("first") + F.col("before"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tables()
         for batch in portions(batches):
             for row in batch.to_pylist():
                 counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)

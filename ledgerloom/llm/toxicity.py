@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
+from ledgerloom.llm.chunks import forget_tables
 from ledgerloom.llm.stage import distinct, mapped, packed, texts_of, unpacked
 
 BITS = 20
@@ -118,6 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, features: i
     rows = rows.select("text", "toxic")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        forget_tables()
         y = batch.column(1).to_numpy().astype(bool)
         owner, feature = ngrams(texts_of(batch.column(0)))
         n, bad = np.bincount(feature), np.bincount(feature[y[owner]])
@@ -163,6 +165,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS numbers and the weights
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        forget_tables()
         scores = sent.value.scores(texts_of(batch.column(1)))
         columns = [*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "rest", "score", "predicted"])

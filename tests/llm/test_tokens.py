@@ -193,3 +193,16 @@ def test_bin_packing(spark, scratch, awkward, nothing):
     assert bin_packing.assign(pieces).count() == 0
     with pytest.raises(ValueError, match="clash"):
         bin_packing.assign(pieces.withColumnRenamed("start", "_rank"))
+
+
+def test_tasks_that_do_not_tokenize_keep_no_tables():
+    class Rows:
+        def mapInArrow(self, function, schema):
+            return list(function(iter([])))
+
+    before = chunks.bpe_ids(BYTE, pa.array(["some words", "and more"]))
+    assert chunks._bpe_table.cache_info().currsize
+    assert token_files.code_blocks(Rows(), [0]) == []
+    assert not chunks._bpe_table.cache_info().currsize and not chunks.tokenizer.cache_info().currsize
+    after = chunks.bpe_ids(BYTE, pa.array(["some words", "and more"]))
+    assert all((a == b).all() for a, b in zip(before, after, strict=True))
