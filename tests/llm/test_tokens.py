@@ -206,3 +206,11 @@ def test_tasks_that_do_not_tokenize_keep_no_tables():
     assert not chunks._bpe_table.cache_info().currsize and not chunks.tokenizer.cache_info().currsize
     after = chunks.bpe_ids(BYTE, pa.array(["some words", "and more"]))
     assert all((a == b).all() for a, b in zip(before, after, strict=True))
+
+
+def test_a_digest_needs_no_python_worker_of_its_own(spark):
+    tokens = spark.createDataFrame([(5, 3, np.array([7, 70_000], "<u4").tobytes()), (None, 0, b"")], "doc_id long, start long, ids binary")
+    digest = token_files.digest(tokens)
+    assert sorted(map(tuple, digest.collect()), key=str) == [(5, 3, 2, crc([7, 70_000])), (None, 0, 0, 0)]
+    assert [f.dataType.simpleString() for f in digest.schema] == ["bigint"] * 4
+    assert "MapInArrow" not in digest._jdf.queryExecution().toString()
