@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import pnl
+from ledgerloom.plans import checks
 
 D = dt.date
 
@@ -51,3 +52,12 @@ def test_revenue_grouped_by_period_is_the_same_revenue(facts):
     assert plain == grouped
     assert [r[3] for r in grouped if r[0] == "actual" and r[1].month == 1] == [100, 100]
     assert [r[3] for r in grouped if r[0] is None] == [5] and [r[3] for r in grouped if r[1] is None] == [None]
+
+
+def test_missing_dates_are_filtered_before_joins_and_sums(spark, facts):
+    kinds = spark.createDataFrame([(18, "income"), (18, "twice"), (4, "cost")], "expense_type_5_id long, name string")
+    joined = facts.join(F.broadcast(kinds), "expense_type_5_id", "left")
+    found = checks.null_counts({"facts": (joined, "date"), "report": (report(facts), "date"), "none": (facts.filter("date is not null"), "date")})
+    assert {r["dataset"]: r["nulls"] for r in found.collect()} == {"facts": 2, "report": 4, "none": 0}
+    optimised = plan(checks.null_counts({"facts": (joined, "date")}))
+    assert optimised.index("Filter isnull(date") > optimised.index("Join")
