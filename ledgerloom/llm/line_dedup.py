@@ -2,8 +2,8 @@
 
 A run is a bucketed table sorted by line key, with the number of documents that hold each key
 and the largest of their doc_ids. Runs share no key: a new batch is merge-anti-joined with
-every run, and only keys that none has become a run of their own; the others are noted as
-repeats. ``fanout`` runs of a level are merged into one of the next. At the end the repeats
+every run, and only keys that none has become a run of their own; the others stay beside them
+as repeats. ``fanout`` runs of a level are merged into one of the next. At the end the repeats
 are merged into the runs, keys of enough documents become decisions, and documents lose the
 lines decided against.
 
@@ -16,6 +16,7 @@ unchanged, except ``n_lines`` and ``n_dropped``, which are replaced.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -78,23 +79,22 @@ class LineRuns:
             self._scratch.drop(name)
             self._tables.discard(name)
 
+    def _fresh(self, name: str) -> DataFrame:
+        return self._spark.table(name).filter("NOT known").drop("known")
+
     def _runs(self) -> list[DataFrame]:
-        return [self._spark.table(name) for level in self._levels for name in level]
+        return [self._fresh(name) for level in self._levels for name in level]
 
     def add(self, batch: DataFrame) -> None:
-        """Merge a batch (doc, key) in: new keys are a run, known ones repeats."""
-        counted = batch.groupBy("key").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
-        name, runs = self._bucketed(counted), self._runs()
-        if runs:
-            keys = self._spark.table(name)
-            fresh, seen = keys, None
-            for run in runs:
-                known = keys.join(run.select("key"), "key", "left_semi")
-                seen = known if seen is None else seen.unionByName(known)
-                fresh = fresh.join(run.select("key"), "key", "left_anti")
-            self._repeats.append(self._scratch.save(seen, f"repeats-{self._made}"))
-            name, keys = self._bucketed(fresh), name
-            self._drop(keys)
+        """Merge a batch (doc, key) in: new keys are a run, known ones repeats. Both are one table,
+        written by one job, as every job writes a file a bucket."""
+        keys = batch.groupBy("key").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
+        known = F.lit(False)
+        for k, run in enumerate(self._runs()):
+            keys = keys.join(run.select("key", F.lit(True).alias(f"in_{k}")), "key", "left")  # anti-join: fresh if nothing is found
+            known |= F.col(f"in_{k}").isNotNull()
+        name = self._bucketed(keys.select("key", "n", "keeper", known.alias("known")))
+        self._repeats.append(self._spark.table(name).filter("known").drop("known"))
         self._levels[0].append(name)
         self._compact()
 
@@ -104,21 +104,18 @@ class LineRuns:
             names, self._levels[level] = self._levels[level], []
             if level + 1 == len(self._levels):
                 self._levels.append([])
-            union = self._spark.table(names[0])
-            for name in names[1:]:
-                union = union.unionByName(self._spark.table(name))
-            self._levels[level + 1].append(self._bucketed(union))
-            self._drop(*names)
+            union = reduce(DataFrame.unionByName, [self._fresh(name) for name in names])
+            self._levels[level + 1].append(self._bucketed(union.withColumn("known", F.lit(False))))
+            if level:  # tables of the first level hold repeats, read at the end
+                self._drop(*names)
             level += 1
 
     def decisions(self, documents: int) -> DataFrame:
         """key, keeper of the keys that at least so many documents hold. Ends the runs."""
         found = None
         runs = self._runs()
-        if self._repeats:
-            seen = self._repeats[0]
-            for repeat in self._repeats[1:]:
-                seen = seen.unionByName(repeat)
+        if len(self._repeats) > 1:
+            seen = reduce(DataFrame.unionByName, self._repeats[1:])  # the first batch has none
             seen = seen.groupBy("key").agg(F.sum("n").alias("more"), F.max("keeper").alias("later"))
             repeats = self._spark.table(self._bucketed(seen))
             runs = [

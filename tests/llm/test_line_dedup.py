@@ -61,3 +61,16 @@ def test_query_equals_its_sql(spark):
     columns = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
     rows = db.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES['op1_line_dedup']})").fetchall()
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(rows)
+
+
+def test_a_batch_is_written_by_one_job(spark, awkward, scratch, monkeypatch):
+    """Each job writes a file a bucket, so the keys of a batch and its repeats are one table."""
+    made, bucketed = [], line_dedup.LineRuns._bucketed
+    monkeypatch.setattr(line_dedup.LineRuns, "_bucketed", lambda self, rows: made.append(bucketed(self, rows)) or made[-1])
+    work = scratch()
+    saved, save = [], work.save
+    monkeypatch.setattr(work, "save", lambda df, name, *by: saved.append(name) or save(df, name, *by))
+    got = line_dedup.dedup_lines(awkward, work, batches=4, fanout=9)
+    assert found(got) == expected(awkward_texts())
+    assert len(made) == 4 + 1  # batches, and all their repeats together
+    assert saved == ["lines", "decisions"]
