@@ -1,7 +1,7 @@
 """Line deduplication with levelled sorted runs of line hashes.
 
 A run is a bucketed table sorted by line key, with the number of documents that hold each key
-and the largest of their doc_ids. Runs share no key: a new batch is merge-anti-joined with
+and the largest of their doc_ids. Runs share no key: a new batch is merge-joined with
 every run, and only keys that none has become a run of their own; the others stay beside them
 as repeats. ``fanout`` runs of a level are merged into one of the next. At the end the repeats
 are merged into the runs, keys of enough documents become decisions, and documents lose the
